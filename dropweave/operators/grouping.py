@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dropweave.functions import csvtext
 from dropweave.functions.registry import Registry
 from dropweave.operators.filters import with_type
 from dropweave.operators.ordering import global_index, key_offsets, with_bucket
 from dropweave.session import stage
-from dropweave.sources.typed import bad_rows, parse_type
 
 GROUP_ORDER = ("key", "type_rank", "source_file", "line_no")
 _COLUMNS = ("key", "type_rank", "source_file", "line_no", "record_type", "value")
@@ -78,15 +78,17 @@ def orphans(lines: DataFrame, parent: str, children: tuple[str, ...]) -> DataFra
 
 
 def rejects(lines: DataFrame, registry: Registry, parent: str, children: tuple[str, ...]) -> DataFrame:
-    """Lines that do not take part in the groups or in typed output, with the reason."""
+    """Lines that do not take part in the groups or in typed output, one row per reason."""
     columns = ["reason", "source_file", "line_no", "record_type", "value"]
     ids = (parent, *children)
     without_key = reduce(DataFrame.unionByName, [with_type(lines, i) for i in ids]).filter(F.col("key").isNull())
     parts = [without_key.withColumn("reason", F.lit("bad_key")),
              orphans(lines, parent, children).withColumn("reason", F.lit("orphan"))]
     for record_id in ids:
-        typed = parse_type(lines, registry[record_id], ("source_file", "line_no", "record_type", "key", "value"))
-        parts.append(bad_rows(typed).filter(F.col("key").isNotNull()).withColumn("reason", F.lit("corrupt")))
+        # Not expanded into columns: a declared field may be called like one of ours.
+        parsed = csvtext.parse_line(F.col("value"), registry[record_id])
+        corrupt = with_type(lines, record_id).filter(F.col("key").isNotNull() & parsed[csvtext.CORRUPT].isNotNull())
+        parts.append(corrupt.withColumn("reason", F.lit("corrupt")))
     return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
 
 

@@ -40,4 +40,6 @@ def positional_trim(numbered: DataFrame, first: int = 1, last: int = 2) -> DataF
 
     Needs ``number_lines(..., with_total=True)``.
     """
+    if "n_lines" not in numbered.columns:
+        raise ValueError("a trim by position needs numbered lines with their total, not assembled records")
     return numbered.filter((F.col("line_no") >= first) & (F.col("line_no") < F.col("n_lines") - last))

@@ -17,31 +17,44 @@ GROUP_ORDER = ("key", "type_rank", "source_file", "line_no")
 _COLUMNS = ("key", "type_rank", "source_file", "line_no", "record_type", "value")
 
 
-def envelope(lines: DataFrame, parent: str, children: tuple[str, ...]) -> DataFrame:
-    """Keyed lines of a parent type (rank 0) and its child types (ranks 1, 2, ...).
+def _ranked(lines: DataFrame, ids: tuple[str, ...], first_rank: int = 0) -> DataFrame:
+    """Keyed lines of several types in one scan, ranked by their place in ``ids``.
 
     Lines stay raw text, so types of different width share one table.
     """
-    ranked = [with_type(lines, record_id).withColumn("type_rank", F.lit(rank))
-              for rank, record_id in enumerate((parent, *children))]
-    rows = reduce(DataFrame.unionByName, ranked).select(*_COLUMNS)
-    return rows.filter(F.col("key").isNotNull())
-
-
-def parent_keys(rows: DataFrame) -> DataFrame:
-    """The distinct parent keys, staged: deduplicated map-side, and of known size to the join."""
-    return stage(rows.filter("type_rank = 0").select("key").distinct(), "keys")
+    of_type = F.col("record_type")
+    if "family" in lines.columns:
+        lines = lines.filter(F.col("family").isin(list(ids)))
+    rank = F.when(of_type == ids[0], F.lit(first_rank))
+    for place, record_id in enumerate(ids[1:], first_rank + 1):
+        rank = rank.when(of_type == record_id, F.lit(place))
+    return (lines.filter(of_type.isin(list(ids)) & F.col("key").isNotNull())
+            .withColumn("type_rank", rank).select(*_COLUMNS))
+
+
+def envelope(lines: DataFrame, parent: str, children: tuple[str, ...],
+             limit_per_key: int | None = None) -> DataFrame:
+    """Parent lines (rank 0) and child lines (ranks 1, 2, ...) in one table.
+
+    With a limit, only the first lines per child type and key.  That rank filter is applied
+    map-side as well, so a frequent key shrinks before the shuffle.
+    """
+    if limit_per_key is None:
+        return _ranked(lines, (parent, *children))
+    first = Window.partitionBy("type_rank", "key").orderBy("source_file", "line_no")
+    limited = (_ranked(lines, children, 1).withColumn("_n", F.row_number().over(first))
+               .filter(F.col("_n") <= limit_per_key).drop("_n"))
+    return _ranked(lines, (parent,)).unionByName(limited)
 
 
-def first_children(rows: DataFrame, limit_per_key: int) -> DataFrame:
-    """Parents, and of each child type the first ``limit_per_key`` lines per key.
+def parent_keys(lines: DataFrame, parent: str) -> DataFrame:
+    """The distinct parent keys, staged.
 
-    The rank filter is applied map-side as well, so a frequent key shrinks before the shuffle.
+    Deduplicated map-side first, so a frequent key arrives as one row.  Being a table of
+    their own, they are broadcast only if their files are small, and otherwise they leave
+    adaptive execution free to split the other side of the join where a key is frequent.
     """
-    first = Window.partitionBy("type_rank", "key").orderBy("source_file", "line_no")
-    children = (rows.filter("type_rank > 0").withColumn("_n", F.row_number().over(first))
-                .filter(F.col("_n") <= limit_per_key).drop("_n"))
-    return rows.filter("type_rank = 0").unionByName(children)
+    return stage(_ranked(lines, (parent,)).select("key").distinct(), "keys")
 
 
 def group_by_key(lines: DataFrame, parent: str, children: tuple[str, ...],
@@ -51,11 +64,8 @@ def group_by_key(lines: DataFrame, parent: str, children: tuple[str, ...],
     A semi-join against the distinct parent keys, so rows never multiply.  To be read in
     ``GROUP_ORDER``.
     """
-    rows = envelope(lines, parent, children)
-    keys = parent_keys(rows)
-    if limit_per_key is not None:
-        rows = first_children(rows, limit_per_key)
-    return rows.join(keys, "key", "left_semi")
+    rows = envelope(lines, parent, children, limit_per_key)
+    return rows.join(parent_keys(lines, parent), "key", "left_semi")
 
 
 def group_in_chunks(lines: DataFrame, parent: str, children: tuple[str, ...], parents_per_chunk: int,
@@ -64,17 +74,13 @@ def group_in_chunks(lines: DataFrame, parent: str, children: tuple[str, ...], pa
 
     A chunk closes after ``parents_per_chunk`` parents, never inside a group.
     """
-    rows = envelope(lines, parent, children)
-    offsets = key_offsets(rows.filter("type_rank = 0"))
-    if limit_per_key is not None:
-        rows = first_children(rows, limit_per_key)
-    return with_bucket(rows, offsets, parents_per_chunk)
+    offsets = key_offsets(_ranked(lines, (parent,)))
+    return with_bucket(envelope(lines, parent, children, limit_per_key), offsets, parents_per_chunk)
 
 
 def orphans(lines: DataFrame, parent: str, children: tuple[str, ...]) -> DataFrame:
     """Child lines with a key no parent has."""
-    rows = envelope(lines, parent, children)
-    return rows.filter("type_rank > 0").join(parent_keys(rows), "key", "left_anti")
+    return _ranked(lines, children, 1).join(parent_keys(lines, parent), "key", "left_anti")
 
 
 def rejects(lines: DataFrame, registry: Registry, parent: str, children: tuple[str, ...]) -> DataFrame:
@@ -107,7 +113,7 @@ def nest_by_key(grouped: DataFrame, children: tuple[str, ...], max_rows: int = 1
         indexed = global_index(grouped.join(large, "key", "left_semi"), *GROUP_ORDER)
         starts = stage(indexed.groupBy("key").agg(F.min("row_index").alias("start")), "starts")
         cut = indexed.join(starts, "key").withColumn(
-            "segment", F.floor((F.col("row_index") - F.col("start")) / F.lit(max_rows)))
+            "segment", F.expr(f"(row_index - start) div {int(max_rows)}"))
         rows = (grouped.join(large, "key", "left_anti").withColumn("segment", F.lit(0).cast("bigint"))
                 .unionByName(cut.drop("row_index", "start")))
     line = F.struct("source_file", "line_no", "value")

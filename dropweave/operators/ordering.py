@@ -98,7 +98,7 @@ def with_bucket(rows: DataFrame, offsets: DataFrame, size: int, key: str = "key"
     """
     if size < 1:
         raise ValueError("bucket size must be at least 1")
-    buckets = offsets.select(key, F.floor(F.col("first_index") / F.lit(size)).alias(name))
+    buckets = offsets.select(key, F.expr(f"first_index div {int(size)}").alias(name))
     return rows.join(buckets, key)
 
 

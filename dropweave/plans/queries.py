@@ -72,7 +72,7 @@ def file_list(spark, sf_dir):
 
 def registry(spark, sf_dir):
     """How many lines of each declared type fit the declaration."""
-    lines = sample_lines(spark, sf_dir)
+    lines = landed_lines(spark, sf_dir)
     checked = [
         parse_type(lines, t).agg(
             F.count("*").alias("n_lines"), F.count(csvtext.CORRUPT).alias("n_bad")).select(
@@ -146,7 +146,7 @@ def manifest_refresh(spark, sf_dir):
 # --- filters, projections and scalar functions ----------------------------------------
 
 def type_filter(spark, sf_dir):
-    kept = filters.keep_types(sample_lines(spark, sf_dir))
+    kept = filters.keep_types(landed_lines(spark, sf_dir))
     return kept.groupBy("record_type").agg(F.count("*").alias("n"))
 
 
@@ -176,7 +176,7 @@ def key_cast(spark, sf_dir):
 
 
 def csv_parse(spark, sf_dir):
-    return good_rows(parse_type(sample_lines(spark, sf_dir), SAMPLE["28"])).select(
+    return good_rows(parse_type(landed_lines(spark, sf_dir), SAMPLE["28"])).select(
         F.col("UPRN").alias("user_id"), F.col("PRO_ORDER").alias("event_id"), F.col("EVENT").alias("event_type"),
         F.col("VALUE").alias("value"), F.col("PROPS").alias("props"), F.col("ENTRY_DATE").alias("day"))
 
@@ -197,7 +197,7 @@ def split(spark, sf_dir):
 
 
 def merge_type(spark, sf_dir):
-    merged = filters.with_type(sample_lines(spark, sf_dir), "24")
+    merged = filters.with_type(landed_lines(spark, sf_dir), "24")
     return good_rows(parse_type(merged, SAMPLE["24"])).select(
         F.col("UPRN").alias("o_custkey"), F.col("PRO_ORDER").alias("o_orderkey"),
         F.col("STATUS").alias("o_orderstatus"), F.col("PRIORITY").alias("o_orderpriority"),
@@ -214,7 +214,7 @@ def merge_all(spark, sf_dir):
 
 def header_sink(spark, sf_dir):
     path = staging_path(spark, "header")
-    sinks.write_table(good_rows(parse_type(sample_lines(spark, sf_dir), SAMPLE["15"])), path, header=True)
+    sinks.write_table(good_rows(parse_type(landed_lines(spark, sf_dir), SAMPLE["15"])), path, header=True)
     return good_rows(read_typed(spark, path, SAMPLE["15"], header=True)).select(
         F.col("USRN").alias("s_nationkey"), F.col("PRO_ORDER").alias("s_suppkey"),
         F.col("NAME").alias("s_name"), F.col("BALANCE").alias("s_acctbal"))
@@ -222,7 +222,7 @@ def header_sink(spark, sf_dir):
 
 def null_sink(spark, sf_dir):
     path = staging_path(spark, "nulls")
-    typed = good_rows(parse_type(sample_lines(spark, sf_dir), SAMPLE["24"]))
+    typed = good_rows(parse_type(landed_lines(spark, sf_dir), SAMPLE["24"]))
     sinks.write_table(
         typed.withColumn("STATUS", F.when(F.col("STATUS") == "P", F.lit("")).otherwise(F.col("STATUS")))
         .withColumn("PRIORITY", F.nullif("PRIORITY", F.lit("1-URGENT"))), path)
@@ -312,13 +312,13 @@ def group_uprn_nested(spark, sf_dir):
 
 
 def lookup_key(spark, sf_dir):
-    lines = filters.keep_types(sample_lines(spark, sf_dir), ("21", "24", "28"))
+    lines = filters.keep_types(landed_lines(spark, sf_dir), ("21", "24", "28"))
     return grouping.lookup(lines, LOOKUP_KEY).select("record_type", "key", _serial())
 
 
 def lookup_batch(spark, sf_dir):
     keys = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("key"))
-    orders = filters.with_type(sample_lines(spark, sf_dir), "24")
+    orders = filters.with_type(landed_lines(spark, sf_dir), "24")
     return grouping.lookup_many(orders, keys).select("key", _serial())
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dropweave.functions import csvtext
@@ -10,19 +10,26 @@ from dropweave.functions.registry import CONTROL_IDS, Registry
 from dropweave.session import broadcast_if_small, stage, staging_path
 
 LINE_SCHEMA = "source_file STRING, part STRING, block BIGINT, pos BIGINT, value STRING"
-LANDED_SCHEMA = LINE_SCHEMA + ", record_type STRING, key BIGINT, family STRING"
+RECORD_SCHEMA = "source_file STRING, line_no BIGINT, value STRING"
+_LANDED = ", record_type STRING, key BIGINT, family STRING"
 TEXT_FILES = "*.{csv,gz}"
 
 
-def _source_name(path, source: str):
+def _source_name(path: Column, source: str) -> Column:
+    """Runs for every line of a scan, so it is plain substring work."""
     if source == "file":
-        return csvtext.file_stem(path)
+        return F.substring_index(path, "/", -1)
     if source == "directory":
         # A drop kept as a directory of part files; Spark's own naming is source_file=<name>.
-        return F.regexp_replace(F.element_at(F.split(path, "/"), -2), "^[^=]*=", "")
+        folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+        return F.substring_index(folder, "=", -1)
     raise ValueError(f"source must be 'file' or 'directory', not {source!r}")
 
 
+def without_cr(text: Column) -> Column:
+    return F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
+
+
 def read_lines(spark: SparkSession, path: str | list[str], source: str = "file",
                glob: str = TEXT_FILES, keep_cr: bool = False) -> DataFrame:
     """Scan plain and gzip text: one row per line, with file lineage.
@@ -33,7 +40,7 @@ def read_lines(spark: SparkSession, path: str | list[str], source: str = "file",
     """
     raw = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
            .option("pathGlobFilter", glob).text(path))
-    value = F.col("value") if keep_cr else F.regexp_replace("value", "\r$", "")
+    value = F.col("value") if keep_cr else without_cr(F.col("value"))
     return raw.select(
         _source_name(F.col("_metadata.file_path"), source).alias("source_file"),
         F.col("_metadata.file_path").alias("part"),
@@ -72,11 +79,12 @@ def land(lines: DataFrame, registry: Registry, path: str | None = None, compact:
     if compact:
         rows = rows.hint("rebalance", "family")
     rows.write.partitionBy("family").parquet(path)
-    return read_landed(lines.sparkSession, path)
+    return lines.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LANDED_SCHEMA).parquet(path)
+def read_landed(spark: SparkSession, path: str, records: bool = False) -> DataFrame:
+    """A table ``land`` wrote, from lines or from assembled records."""
+    return spark.read.schema((RECORD_SCHEMA if records else LINE_SCHEMA) + _LANDED).parquet(path)
 
 
 def number_lines(landed: DataFrame, with_total: bool = False) -> DataFrame:
@@ -99,6 +107,6 @@ def number_lines(landed: DataFrame, with_total: bool = False) -> DataFrame:
                       total.alias("n_lines")),
         "splits"))
     rest = [c for c in landed.columns if c not in ("source_file", "part", "block", "pos")]
-    return landed.join(offsets, ["source_file", "part", "block"]).select(
+    return landed.drop("source_file").join(offsets, ["part", "block"]).select(
         "source_file", (F.col("pos") + F.col("shift")).alias("line_no"),
         *(["n_lines"] if with_total else []), *rest)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropweave.session import broadcast_if_small, stage
+from dropweave.sources.lines import without_cr
 
 MAX_RECORD_LINES = 100_000
 
@@ -88,7 +89,7 @@ def assemble_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> Dat
         "source_file", "value", (F.col("pos") + F.col("shift")).alias("line_no"),
         F.expr("IF(inside = 1, s1, s0) = 0 AND IF(inside = 1, e1, e0) = 0").alias("alone"),
         F.coalesce(F.expr("IF(inside = 1, start1, start0) + shift"), F.col("carried")).alias("record_no"))
-    strip = F.regexp_replace("value", "\r$", "").alias("value")
+    strip = without_cr(F.col("value")).alias("value")
     alone = placed.filter("alone").select("source_file", "line_no", strip)
     several = placed.filter("NOT alone")
 
@@ -103,5 +104,5 @@ def assemble_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> Dat
     joined = several.groupBy("source_file", "record_no").agg(
         F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("lines")).select(
         "source_file", F.col("record_no").alias("line_no"),
-        F.regexp_replace(F.array_join("lines.value", "\n"), "\r$", "").alias("value"))
+        without_cr(F.array_join("lines.value", "\n")).alias("value"))
     return loose.union(joined)

@@ -18,10 +18,13 @@ def read_typed(spark: SparkSession, path: str, record_type: RecordType, header:
 
 
 def parse_type(lines: DataFrame, record_type: RecordType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed fields of the lines of one type, plus ``_corrupt_record`` and the ``keep`` columns."""
-    typed = with_type(lines, record_type.id).withColumn(
-        "parsed", csvtext.parse_line(F.col("value"), record_type))
-    return typed.select(*keep, "parsed.*")
+    """Typed fields of the lines of one type, plus ``_corrupt_record`` and the ``keep`` columns.
+
+    The struct is unfolded by a generator, which filters are not pushed through: as a plain
+    projection a filter on a parsed field would parse every line a second time.
+    """
+    parsed = csvtext.parse_line(F.col("value"), record_type)
+    return with_type(lines, record_type.id).select(*keep, F.inline(F.array(parsed)))
 
 
 def good_rows(typed: DataFrame) -> DataFrame:

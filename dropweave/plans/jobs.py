@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +30,8 @@ def scan_drop(spark: SparkSession, path: str, source: str = "file", glob: str =
     """Lines of plain, gzip and zip files together.  ``only`` is a part of ``list_drop``."""
     if only is None:
         return read_lines(spark, path, source, glob, keep_cr).unionByName(read_zip(spark, path, keep_cr))
-    # File names are what a reader takes; they are as many as files, not as lines.
-    names = [row.part for row in only.filter(~F.col("part").contains(".zip!")).select("part").collect()]
+    # A reader takes a list of names (as many as files, not as lines), and would expand wildcards.
+    names = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row.part) for row in only.filter(~F.col("part").contains(".zip!")).select("part").collect()]
     zipped = read_zip(spark, path, keep_cr, only)
     return read_lines(spark, names, source, "*", keep_cr).unionByName(zipped) if names else zipped
 

@@ -15,14 +15,20 @@ _LANDED = ", record_type STRING, key BIGINT, family STRING"
 TEXT_FILES = "*.{csv,gz}"
 
 
+def decoded(path: Column) -> Column:
+    """Spark shows file names with blanks and the like as %20; a plus stays a plus."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), plain).otherwise(path)
+
+
 def _source_name(path: Column, source: str) -> Column:
     """Runs for every line of a scan, so it is plain substring work."""
     if source == "file":
-        return F.substring_index(path, "/", -1)
+        return decoded(F.substring_index(path, "/", -1))
     if source == "directory":
         # A drop kept as a directory of part files; Spark's own naming is source_file=<name>.
         folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-        return F.substring_index(folder, "=", -1)
+        return decoded(F.substring_index(folder, "=", -1))
     raise ValueError(f"source must be 'file' or 'directory', not {source!r}")
 
 
@@ -57,7 +63,7 @@ def list_files(spark: SparkSession, path: str, source: str = "file", glob: str =
     index = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     names = [(name,) for name in index.format("binaryFile").load(path).inputFiles()]
     listed = spark.createDataFrame(names, "part STRING")
-    return listed.select(_source_name(F.col("part"), source).alias("source_file"), "part")
+    return listed.select(_source_name(F.col("part"), source).alias("source_file"), decoded(F.col("part")).alias("part"))
 
 
 def land(lines: DataFrame, registry: Registry, path: str | None = None, compact: bool = False) -> DataFrame:

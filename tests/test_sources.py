@@ -78,7 +78,10 @@ def test_carriage_returns_and_odd_file_names(spark, small, tmp_path):
     lines = jobs.prepare(spark, str(tmp_path / "d"), small)
     assert values(lines) == DROP
     names = {r.source_file for r in lines.collect()}
-    assert names == {r.source_file for r in list_files(spark, str(tmp_path / "d")).collect()}
+    assert names == {r.source_file for r in list_files(spark, str(tmp_path / "d")).collect()} == {"a b+c%20.csv"}
+    write(tmp_path / "d", "x[1]{2}.csv", DROP)
+    got = jobs.count_all(spark, str(tmp_path / "d"), str(tmp_path / "manifest")).collect()
+    assert {(r.source_file, r.n) for r in got if r.record_type == "24"} == {("a b+c%20.csv", 2), ("x[1]{2}.csv", 2)}
 
 
 def test_zero_byte_file_is_listed_and_not_pending_again(spark, tmp_path):

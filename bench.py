@@ -48,7 +48,7 @@ def main() -> None:
         print(name, seconds[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total of median query seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": int(cpus),
+        "queries": seconds, "sf": float(Path(sf_dir).name.removeprefix("sf")), "cpus": int(cpus),
         "prepare_drop_sec": round(prepared, 3)}))
 
 

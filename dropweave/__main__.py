@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from dropweave.functions.registry import LOCATION_IDS, UPRN_CHUNK, USRN_CHUNK, Registry
 from dropweave.plans import jobs
-from dropweave.session import build_session
+from dropweave.session import build_session, clear_staging
 from dropweave.sources.lines import TEXT_FILES
 
 
@@ -55,8 +57,17 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
+    embedded = SparkSession.getActiveSession() is not None
     spark = build_session()
+    run(spark, args)
+    if not embedded:
+        clear_staging(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.step == "count":
+        if not args.input:
+            raise SystemExit("count needs --input")
         jobs.count_all(spark, args.input, args.output, args.source, args.glob)
         return
     registry = Registry.from_yaml(args.schema) if args.schema else Registry.standard()

@@ -45,6 +45,11 @@ def manifest_text(entries: DataFrame) -> DataFrame:
     return entries.select("source_file", F.array_join(pairs, ",").alias("counts"))
 
 
+def manifest_json(entries: DataFrame) -> DataFrame:
+    """One JSON object per file: ``{"name": ..., "counts": {type: n}}``."""
+    return entries.select(F.to_json(F.struct(F.col("source_file").alias("name"), "counts")).alias("value"))
+
+
 def pending_files(files: DataFrame, manifest_rows: DataFrame) -> DataFrame:
     """Listed files the manifest does not have yet."""
     return files.select("source_file").distinct().join(

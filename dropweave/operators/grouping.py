@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dropweave.functions import csvtext
 from dropweave.functions.registry import Registry
 from dropweave.operators.filters import with_type
-from dropweave.operators.ordering import global_index, key_offsets, with_bucket
+from dropweave.operators.ordering import key_offsets, place_in_group, with_bucket
 from dropweave.session import stage
 
 GROUP_ORDER = ("key", "type_rank", "source_file", "line_no")
@@ -36,15 +36,19 @@ def envelope(lines: DataFrame, parent: str, children: tuple[str, ...],
              limit_per_key: int | None = None) -> DataFrame:
     """Parent lines (rank 0) and child lines (ranks 1, 2, ...) in one table.
 
-    With a limit, only the first lines per child type and key.  That rank filter is applied
-    map-side as well, so a frequent key shrinks before the shuffle.
+    With a limit, only the first lines per child type and key.  Spark applies a rank filter
+    map-side as well, so a frequent key shrinks before the shuffle; for limits it does not do
+    that for, rows are placed without a window.
     """
     if limit_per_key is None:
         return _ranked(lines, (parent, *children))
-    first = Window.partitionBy("type_rank", "key").orderBy("source_file", "line_no")
-    limited = (_ranked(lines, children, 1).withColumn("_n", F.row_number().over(first))
-               .filter(F.col("_n") <= limit_per_key).drop("_n"))
-    return _ranked(lines, (parent,)).unionByName(limited)
+    limited = _ranked(lines, children, 1)
+    group, order = ["type_rank", "key"], ["source_file", "line_no"]
+    if limit_per_key <= int(lines.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        limited = limited.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    else:
+        limited = place_in_group(limited, group, order, "_n").withColumn("_n", F.col("_n") + 1)
+    return _ranked(lines, (parent,)).unionByName(limited.filter(F.col("_n") <= limit_per_key).drop("_n"))
 
 
 def parent_keys(lines: DataFrame, parent: str) -> DataFrame:
@@ -110,12 +114,10 @@ def nest_by_key(grouped: DataFrame, children: tuple[str, ...], max_rows: int = 1
     if large.isEmpty():
         rows = grouped.withColumn("segment", F.lit(0).cast("bigint"))
     else:
-        indexed = global_index(grouped.join(large, "key", "left_semi"), *GROUP_ORDER)
-        starts = stage(indexed.groupBy("key").agg(F.min("row_index").alias("start")), "starts")
-        cut = indexed.join(starts, "key").withColumn(
-            "segment", F.expr(f"(row_index - start) div {int(max_rows)}"))
+        placed = place_in_group(grouped.join(large, "key", "left_semi"), ["key"], list(GROUP_ORDER[1:]), "place")
+        cut = placed.withColumn("segment", F.expr(f"place div {int(max_rows)}")).drop("place")
         rows = (grouped.join(large, "key", "left_anti").withColumn("segment", F.lit(0).cast("bigint"))
-                .unionByName(cut.drop("row_index", "start")))
+                .unionByName(cut))
     line = F.struct("source_file", "line_no", "value")
     arrays = [F.array_sort(F.collect_list(F.when(F.col("type_rank") == rank, line))).alias(name)
               for rank, name in enumerate(("parents", *(f"type_{c}" for c in children)))]

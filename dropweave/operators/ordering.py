@@ -74,6 +74,18 @@ def global_index(rows: DataFrame, *order: str, name: str = "row_index") -> DataF
             .withColumn(name, in_part + F.col("_shift")).drop("_slot", "_part", "_shift"))
 
 
+def place_in_group(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Add each row's 0-based place among the rows with the same ``keys``.
+
+    For groups of any size: the place is the row's index in the whole order minus the first
+    index of its group, so no window and no task has to hold a group.
+    """
+    indexed = global_index(rows, *keys, *order, name="_index")
+    starts = stage(indexed.groupBy(*keys).agg(F.min("_index").alias("_start")), "starts")
+    return (indexed.join(starts, keys).withColumn(name, F.col("_index") - F.col("_start"))
+            .drop("_index", "_start"))
+
+
 def key_offsets(rows: DataFrame, key: str = "key") -> DataFrame:
     """``(key, n, first_index)``: rows per key, and rows before the key in key order.
 

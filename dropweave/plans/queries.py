@@ -23,7 +23,7 @@ from dropweave.sources.typed import good_rows, parse_type, read_typed
 LOOKUP_KEY = 7
 PARENTS_PER_CHUNK = 500
 STREETS_PER_CHUNK = 5
-ROWS_PER_BUCKET = 1000
+ROWS_PER_BUCKET = 10_000
 UPRN = ("21", ("24", "28"))
 USRN = ("11", ("15",))
 # Streets have keys 0-24, so most orders and events have no parent here.

@@ -85,3 +85,9 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete what this application staged.  Call it when no staged DataFrame is in use any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

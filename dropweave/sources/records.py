@@ -9,6 +9,8 @@ from dropweave.session import broadcast_if_small, stage
 from dropweave.sources.lines import without_cr
 
 MAX_RECORD_LINES = 100_000
+# Splits are taken in runs of a million lines, because a gzip or zip file is a single split.
+RUN_BITS = 20
 
 
 def _ends_inside(text: Column) -> Column:
@@ -35,19 +37,22 @@ def _state(start: Column, flips: Column, fixed: Column) -> Column:
 def assemble_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> DataFrame:
     """Lines (scanned with ``keep_cr``) to records ``(source_file, line_no, value)``.
 
-    ``line_no`` is that of the record's first line.  A file is not read by one task: what a
-    file split does to the quote state is worked out for both states it could start in, the
-    splits of a file are then chained, and each split picks its case.  Only records of
+    ``line_no`` is that of the record's first line.  A file is not worked on by one task: what
+    a run of lines does to the quote state is worked out for both states it could start in,
+    the runs of a file are then chained, and each run picks its case.  Only records of
     several lines are shuffled.  A record of more than ``max_lines`` lines (a quote nobody
     closed) cannot be a row; its lines are kept, one by one.
     """
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    by_split = Window.partitionBy("part", "block").orderBy("pos")
+    by_split = Window.partitionBy("part", "block", "run").orderBy("pos")
     so_far, before = (by_split.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
 
+    quoted = F.col("value").contains('"')
     out, inside = _ends_inside(F.col("value")), _ends_inside(F.concat(F.lit('"'), F.col("value")))
     marked = (
-        lines.withColumn("f0", out.cast("bigint")).withColumn("f1", inside.cast("bigint"))
+        lines.withColumn("run", F.shiftright("pos", RUN_BITS))
+        .withColumn("f0", F.when(quoted, out.cast("bigint")).otherwise(zero))
+        .withColumn("f1", F.when(quoted, inside.cast("bigint")).otherwise(one))
         .withColumn("flips", F.sum(F.when(F.expr("f0 = 1 AND f1 = 0"), one).otherwise(zero)).over(so_far))
         .withColumn("flips_before", F.expr("flips - IF(f0 = 1 AND f1 = 0, 1, 0)"))
         .withColumn("fixed", F.last(
@@ -60,14 +65,14 @@ def assemble_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> Dat
             .withColumn("start" + case, F.last(
                 F.when(F.col("s" + case) == 0, F.col("pos")), ignorenulls=True).over(so_far)))
     marked = stage(marked.select(
-        "source_file", "part", "block", "pos", "value", "s0", "s1", "e0", "e1", "start0", "start1"), "marked")
+        "source_file", "part", "block", "run", "pos", "value", "s0", "s1", "e0", "e1", "start0", "start1"), "marked")
 
-    splits = marked.groupBy("source_file", "part", "block").agg(
+    splits = marked.groupBy("source_file", "part", "block", "run").agg(
         F.count("*").alias("n"), F.min("pos").alias("first_pos"),
         F.max_by("e0", "pos").alias("g0"), F.max_by("e1", "pos").alias("g1"),
         F.max("start0").alias("last0"), F.max("start1").alias("last1"))
-    in_source = Window.partitionBy("source_file").orderBy(F.length("part"), "part", "block")
-    in_part = Window.partitionBy("part").orderBy("block")
+    in_source = Window.partitionBy("source_file").orderBy(F.length("part"), "part", "block", "run")
+    in_part = Window.partitionBy("part").orderBy("block", "run")
     part_so_far, part_before = (in_part.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
     chained = (
         splits
@@ -83,9 +88,9 @@ def assemble_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> Dat
         .withColumn("carried", F.last(
             F.expr("last_start + shift"), ignorenulls=True).over(part_before)))
     offsets = broadcast_if_small(stage(
-        chained.select("part", "block", "shift", "inside", "carried"), "splits"))
+        chained.select("part", "block", "run", "shift", "inside", "carried"), "splits"))
 
-    placed = marked.join(offsets, ["part", "block"]).select(
+    placed = marked.join(offsets, ["part", "block", "run"]).select(
         "source_file", "value", (F.col("pos") + F.col("shift")).alias("line_no"),
         F.expr("IF(inside = 1, s1, s0) = 0 AND IF(inside = 1, e1, e0) = 0").alias("alone"),
         F.coalesce(F.expr("IF(inside = 1, start1, start0) + shift"), F.col("carried")).alias("record_no"))

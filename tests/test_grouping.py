@@ -43,6 +43,23 @@ def test_all_descriptors_or_the_first(drop):
     assert [t for *_, t in first] == ["", "ENG", "", "ENG"]
 
 
+@pytest.mark.parametrize("threshold", ["1000", "1"])
+def test_limit_with_and_without_window(spark, drop, threshold):
+    lines = drop([row(21, 1), row(21, 2)] + [row(24, 1 + n % 2, f"t{n}") for n in range(9)], [row(24, 1, "z")])
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
+    try:
+        assert [t for *_, t in group(lines, limit_per_key=3)] == ["", "t0", "t2", "t4", "", "t1", "t3", "t5"]
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+
+
+def test_limit_is_applied_before_the_shuffle(drop):
+    limited = grouping.envelope(drop([row(21, 1), row(24, 1)]), "21", ("24",), limit_per_key=2)
+    plan = limited._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange hash") < plan.rindex("WindowGroupLimit")
+
+
 def test_keys_compare_as_numbers(drop):
     lines = drop([row(11, 100010), row(11, 9000), row(15, 100010), row(15, 9000)])
     assert [k for _, k, _ in ordered(grouping.group_by_key(lines, "11", ("15",)))] == [9000, 9000, 100010, 100010]

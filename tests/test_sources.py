@@ -94,6 +94,8 @@ def test_zero_byte_file_is_listed_and_not_pending_again(spark, tmp_path):
     assert counts.pending_files(files, spark.read.parquet(path)).isEmpty()
     entries = counts.manifest_text(counts.manifest_entries(spark.read.parquet(path))).collect()
     assert {r.source_file: r.counts for r in entries} == {"empty.csv": "", "good.csv": "10:1,21:1,24:2,29:1,99:1"}
+    exported = counts.manifest_json(counts.manifest_entries(spark.read.parquet(path))).collect()
+    assert '{"name":"good.csv","counts":{"10":1,"21":1,"24":2,"29":1,"99":1}}' in [r.value for r in exported]
 
 
 def test_manifest_forgets_removed_files_and_counts_only_new_ones(spark, tmp_path):
@@ -152,6 +154,15 @@ def test_records_agree_with_a_sequential_reader_over_small_splits(spark, tmp_pat
     assert got == python_records(text)
 
 
+def test_records_of_an_unsplittable_file_are_worked_on_in_runs(spark, tmp_path, monkeypatch):
+    from dropweave.sources import records as module
+    monkeypatch.setattr(module, "RUN_BITS", 3)
+    text = "".join(f'24,{n},"x' + "\n" * (n % 23) + 'y"\n' for n in range(120))
+    (tmp_path / "f.csv.gz").write_bytes(gzip.compress(text.encode()))
+    got = values(assemble_records(read_lines(spark, str(tmp_path), keep_cr=True)))
+    assert got == python_records(text)
+
+
 def test_record_nobody_closed_keeps_its_lines(spark, tmp_path):
     lines = ["24,ok", '24,"open'] + [f"24,{n}" for n in range(30)]
     write(tmp_path / "d", "f.csv", lines)

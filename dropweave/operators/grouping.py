@@ -11,7 +11,7 @@ from dropweave.functions import csvtext
 from dropweave.functions.registry import Registry
 from dropweave.operators.filters import with_type
 from dropweave.operators.ordering import key_offsets, place_in_group, with_bucket
-from dropweave.session import stage
+from dropweave.session import BROADCAST_ROWS, stage
 
 GROUP_ORDER = ("key", "type_rank", "source_file", "line_no")
 _COLUMNS = ("key", "type_rank", "source_file", "line_no", "record_type", "value")
@@ -102,26 +102,40 @@ def rejects(lines: DataFrame, registry: Registry, parent: str, children: tuple[s
     return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
 
 
-def nest_by_key(grouped: DataFrame, children: tuple[str, ...], max_rows: int = 10_000) -> DataFrame:
+def _nested(rows: DataFrame, children: tuple[str, ...]) -> DataFrame:
+    line = F.struct("source_file", "line_no", "value")
+    arrays = [F.array_sort(F.collect_list(F.when(F.col("type_rank") == rank, line))).alias(name)
+              for rank, name in enumerate(("parents", *(f"type_{c}" for c in children)))]
+    return rows.groupBy("key", "segment").agg(*arrays)
+
+
+def nest_by_key(lines: DataFrame, parent: str, children: tuple[str, ...], max_rows: int = 10_000) -> DataFrame:
     """Groups as rows: ``(key, segment, parents, <one array per child type>)``.
 
     Array elements are ``(source_file, line_no, value)`` in line order.  A group of at most
     ``max_rows`` lines is one row, segment 0.  A larger one goes on over further segments in
     group order, so no array grows with the data and none of its lines is lost.
+
+    Large keys are taken out before the shuffle that joins and nests the others, and are
+    shuffled by segment instead of by key.
     """
-    sizes = grouped.groupBy("key").agg(F.count("*").alias("n"))
-    large = stage(sizes.filter(F.col("n") > max_rows), "large").select("key")
-    if large.isEmpty():
-        rows = grouped.withColumn("segment", F.lit(0).cast("bigint"))
-    else:
-        placed = place_in_group(grouped.join(large, "key", "left_semi"), ["key"], list(GROUP_ORDER[1:]), "place")
-        cut = placed.withColumn("segment", F.expr(f"place div {int(max_rows)}")).drop("place")
-        rows = (grouped.join(large, "key", "left_anti").withColumn("segment", F.lit(0).cast("bigint"))
-                .unionByName(cut))
-    line = F.struct("source_file", "line_no", "value")
-    arrays = [F.array_sort(F.collect_list(F.when(F.col("type_rank") == rank, line))).alias(name)
-              for rank, name in enumerate(("parents", *(f"type_{c}" for c in children)))]
-    return rows.groupBy("key", "segment").agg(*arrays)
+    rows = envelope(lines, parent, children)
+    keys = parent_keys(lines, parent)
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+    large = stage(sizes.filter(F.col("n") > max_rows).select("key").join(keys, "key", "left_semi"), "large")
+    n_large = large.count()
+    segment = F.expr(f"_place div {int(max_rows)}")
+    if n_large > BROADCAST_ROWS:
+        placed = place_in_group(rows.join(keys, "key", "left_semi"), ["key"], list(GROUP_ORDER[1:]), "_place")
+        return _nested(placed.withColumn("segment", segment).repartition("key", "segment"), children)
+    first = F.lit(0).cast("bigint")
+    if not n_large:
+        return _nested(rows.join(keys, "key", "left_semi").withColumn("segment", first), children)
+    others = rows.join(F.broadcast(large), "key", "left_anti").join(keys, "key", "left_semi")
+    placed = place_in_group(
+        rows.join(F.broadcast(large), "key", "left_semi"), ["key"], list(GROUP_ORDER[1:]), "_place")
+    return _nested(others.withColumn("segment", first), children).unionByName(
+        _nested(placed.withColumn("segment", segment).repartition("key", "segment"), children))
 
 
 def lookup(rows: DataFrame, key: int) -> DataFrame:

@@ -304,7 +304,7 @@ def part_names(spark, sf_dir):
 
 
 def group_uprn_nested(spark, sf_dir):
-    nested = grouping.nest_by_key(grouping.group_by_key(sample_lines(spark, sf_dir), *UPRN), UPRN[1])
+    nested = grouping.nest_by_key(sample_lines(spark, sf_dir), *UPRN)
     serials = F.transform("type_24", lambda line: csvtext.field_at(line["value"], 2))
     return nested.select(
         "key", "segment", F.size("parents").alias("n_parents"), F.size("type_24").alias("n_24"),

@@ -45,12 +45,19 @@ def record_type_of(value: Column) -> Column:
 
 
 def field_at(value: Column, position: int) -> Column:
-    """The raw text of one field of a CSV line, without parsing the whole line."""
+    """The raw text of one field of a CSV line, without parsing the whole line.
+
+    A line too short for the field gives ''.  The pattern is used only when there is a quote
+    in the fields up to this one.
+    """
+    before, upto = (F.substring_index(value, ",", n) for n in (position, position + 1))
     quoted = r'"[^"]*(?:""[^"]*)*"'
     skip = f"(?:(?:{quoted}|[^,]*),)" + "{" + str(position) + "}"
     by_pattern = F.regexp_replace(
         F.regexp_extract(value, f"^{skip}({quoted}|[^,]*)", 1), r'^"|"$', "")
-    return F.when(value.contains('"'), by_pattern).otherwise(F.split_part(value, F.lit(","), F.lit(position + 1)))
+    return (F.when(upto.contains('"'), by_pattern)
+            .when(before == value, F.lit(""))
+            .otherwise(F.substring_index(upto, ",", -1)))
 
 
 def to_key(text: Column) -> Column:

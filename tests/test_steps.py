@@ -99,6 +99,15 @@ def test_names(spark):
     assert tuple(one) == ("part-0007.csv", "part-123456.csv", "x_r24.csv", "x.csv", "c.csv")
 
 
+def test_field_without_parsing_the_line(spark):
+    lines = ["24,I,1,7,x", "24,I,1,7", "24,I,1", "", '24,"a,b",1,7,x', '24,"a,""b"",",1,"7",x', '24,I,1,7,"x,y"',
+             "24,I,1,,x", '24,"a,b",1']
+    df = spark.createDataFrame([(v,) for v in lines], "v STRING").select(csvtext.field_at(F.col("v"), 3).alias("f"))
+    assert [r.f for r in df.collect()] == ["7", "7", "", "", "7", "7", "7", "", ""]
+    firsts = spark.createDataFrame([("24,I",), ("",)], "v STRING").select(csvtext.field_at(F.col("v"), 0).alias("f"))
+    assert [r.f for r in firsts.collect()] == ["24", ""]
+
+
 def test_key_text(spark):
     texts = ["12", " 12 ", "12.0", "x", "", None, "9223372036854775808", "-3"]
     df = spark.createDataFrame([(t,) for t in texts], "t STRING").select(csvtext.to_key(F.col("t")).alias("k"))

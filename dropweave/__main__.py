@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
         if name != "count":
             p.add_argument("--landed", help="landed table: written when --input is given, else read")
             p.add_argument("--schema", help="YAML file of record types; the standard ones if left out")
+            p.add_argument("--compact", action="store_true", help="land evenly sized files, at the price of a shuffle")
             p.add_argument("--scan-mode", choices=("line", "record"), default="line")
             p.add_argument("--mode", choices=("errorifexists", "overwrite", "ignore"), default="errorifexists")
         return p
@@ -72,7 +73,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         return
     registry = Registry.from_yaml(args.schema) if args.schema else Registry.standard()
     if args.input:
-        lines = jobs.prepare(spark, args.input, registry, args.landed, args.scan_mode, args.source, args.glob)
+        lines = jobs.prepare(spark, args.input, registry, args.landed, args.scan_mode, args.source, args.glob,
+                             args.compact)
     elif args.landed:
         lines = jobs.reopen(spark, args.landed, args.scan_mode)
     else:

@@ -51,10 +51,10 @@ def field_at(value: Column, position: int) -> Column:
     in the fields up to this one.
     """
     before, upto = (F.substring_index(value, ",", n) for n in (position, position + 1))
-    quoted = r'"[^"]*(?:""[^"]*)*"'
-    skip = f"(?:(?:{quoted}|[^,]*),)" + "{" + str(position) + "}"
-    by_pattern = F.regexp_replace(
-        F.regexp_extract(value, f"^{skip}({quoted}|[^,]*)", 1), r'^"|"$', "")
+    # Atomic, so that a comma inside quotes is never tried as a separator.
+    field = r'(?:(?>"[^"]*(?:""[^"]*)*")[^,]*|(?!")[^,]*)'
+    skip = f"(?:{field},)" + "{" + str(position) + "}"
+    by_pattern = F.regexp_replace(F.regexp_extract(value, f"^{skip}({field})", 1), r'^"|"$', "")
     return (F.when(upto.contains('"'), by_pattern)
             .when(before == value, F.lit(""))
             .otherwise(F.substring_index(upto, ",", -1)))

@@ -13,7 +13,7 @@ from dropweave.functions.csvtext import CORRUPT
 from dropweave.functions.registry import (
     LOCATION_IDS, UPRN_CHILDREN, UPRN_CHUNK, UPRN_PARENT, USRN_CHILDREN, USRN_CHUNK, USRN_PARENT, Registry)
 from dropweave.operators import counts, filters, grouping, ordering
-from dropweave.session import size_shuffles, stage
+from dropweave.session import input_bytes, size_shuffles, stage
 from dropweave.sources.archives import list_members, member_files, read_zip
 from dropweave.sources.lines import TEXT_FILES, land, list_files, number_lines, read_landed, read_lines
 from dropweave.sources.records import assemble_records
@@ -36,13 +36,6 @@ def scan_drop(spark: SparkSession, path: str, source: str = "file", glob: str =
     return read_lines(spark, names, source, "*", keep_cr).unionByName(zipped) if names else zipped
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under a path, from their listing."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.{csv,gz,zip,txt,parquet}").load(path))
-    return files.agg(F.sum("length")).first()[0] or 0
-
-
 def prepare(spark: SparkSession, path: str, registry: Registry, landed: str | None = None,
             scan_mode: str = "line", source: str = "file", glob: str = TEXT_FILES,
             compact: bool = False) -> DataFrame:

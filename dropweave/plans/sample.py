@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from dropweave.functions.csvtext import format_line
 from dropweave.functions.registry import RecordType, Registry
-from dropweave.session import staging_path
+from dropweave.session import input_bytes, size_shuffles, staging_path
 from dropweave.sources.archives import open_uri
 from dropweave.sources.lines import land, number_lines, read_lines
 
 SOURCES = 8
 PART_FILES = "part-*"
+TEXT_PER_TABLE_BYTE = 4
 
 SAMPLE = Registry([
     RecordType.from_layout("10", "Header", "RECORD_IDENTIFIER int, FILE_NAME string, VOLUME int, ENTRY_DATE date"),
@@ -90,6 +91,8 @@ def drop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_dir(spark: SparkSession, sf_dir: str, codec: str = "none") -> str:
     """The drop as text: one directory per source, its part files in line order."""
     def make():
+        # Text is a few times the size of the compressed tables.
+        size_shuffles(spark, TEXT_PER_TABLE_BYTE * input_bytes(spark, sf_dir, "*.parquet"))
         path = staging_path(spark, "drop")
         order = ["source_file", "section", "type", "k", "s"]
         (drop_rows(spark, sf_dir).repartitionByRange(*order).sortWithinPartitions(*order)

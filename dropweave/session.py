@@ -34,6 +34,13 @@ def build_session(app: str = "dropweave", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def input_bytes(spark: SparkSession, path: str, glob: str = "*") -> int:
+    """Total size of the files under a path, from their listing."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", glob).load(path))
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Start adaptive shuffles with enough partitions for ``input_bytes``.
 

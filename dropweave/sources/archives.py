@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +29,25 @@ def open_uri(uri: str) -> BinaryIO:
     return store.open_input_file(path)
 
 
+def _line_blocks(stream: BinaryIO, keep_cr: bool) -> Iterator[list[str]]:
+    """The lines of a stream, a block at a time.  A newline byte is never part of another character."""
+    held: list[bytes] = []
+    while block := stream.read(BATCH_BYTES):
+        whole, newline, rest = block.rpartition(b"\n")
+        if newline:
+            yield _split(b"".join((*held, whole)), keep_cr)
+            held = []
+        held.append(rest)
+    if tail := b"".join(held):
+        yield _split(tail, keep_cr)
+
+
+def _split(data: bytes, keep_cr: bool) -> list[str]:
+    text = data.decode("utf-8", "replace")
+    lines = text.split("\n")
+    return lines if keep_cr or "\r" not in text else [line.removesuffix("\r") for line in lines]
+
+
 def list_members(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] = open_uri) -> DataFrame:
     """``(archive, member, size)`` of every file in every archive; reads the directories only."""
     archives = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -73,24 +92,15 @@ def read_zip(spark: SparkSession, path: str, keep_cr: bool = False, only: DataFr
             for archive, member in zip(batch["archive"].to_pylist(), batch["member"].to_pylist()):
                 name, part = member.rsplit("/", 1)[-1], f"{archive}!{member}"
 
-                def emit(first: int, values: list[str]) -> pa.RecordBatch:
-                    n = len(values)
-                    return pa.record_batch(
-                        [[name] * n, [part] * n, [0] * n, range(first, first + n), values], schema=schema)
-
-                with opener(archive) as handle, zipfile.ZipFile(handle) as zipped, \
-                        io.BufferedReader(zipped.open(member), BATCH_BYTES) as stream:
-                    first, held, values = 0, 0, []
-                    for raw in stream:
-                        text = raw.removesuffix(b"\n")
-                        text = text if keep_cr else text.removesuffix(b"\r")
-                        values.append(text.decode("utf-8", "replace"))
-                        held += len(raw)
-                        if held >= BATCH_BYTES:
-                            yield emit(first, values)
-                            first, held, values = first + len(values), 0, []
-                    if values:
-                        yield emit(first, values)
+                with opener(archive) as handle, zipfile.ZipFile(handle) as zipped, zipped.open(member) as stream:
+                    first = 0
+                    for values in _line_blocks(stream, keep_cr):
+                        n = len(values)
+                        yield pa.record_batch(
+                            [pa.repeat(name, n), pa.repeat(part, n), pa.repeat(pa.scalar(0, pa.int64()), n),
+                             pa.array(np.arange(first, first + n, dtype="int64")), pa.array(values, pa.string())],
+                            schema=schema)
+                        first += n
 
     # Dealt out in turn: hashing a short list of names would leave many tasks empty.
     return members.repartition(tasks).mapInArrow(lines, LINE_SCHEMA)

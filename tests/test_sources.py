@@ -49,12 +49,14 @@ def test_plain_gzip_and_zip_give_the_same_records(spark, small, tmp_path):
 def test_zip_is_read_in_batches(spark, tmp_path, monkeypatch):
     from dropweave.sources import archives
     monkeypatch.setattr(archives, "BATCH_BYTES", 64)
-    lines = [f"24,{n}," + "y" * (n % 30) for n in range(500)]
+    lines = [f"24,{n}," + "yé" * (n % 60) for n in range(500)]
+    text = "\r\n".join([*lines, "", "é", ""])
+    assert [line for block in archives._line_blocks(io.BytesIO(text.encode()), False) for line in block] == [*lines, "", "é"]
     with zipfile.ZipFile(tmp_path / "one.zip", "w") as z:
-        z.writestr("m.csv", "\r\n".join(lines))
+        z.writestr("m.csv", text)
     got = read_zip(spark, str(tmp_path)).orderBy("pos").collect()
-    assert [r.value for r in got] == lines
-    assert [r.pos for r in got] == list(range(500))
+    assert [r.value for r in got] == [*lines, "", "é"]
+    assert [r.pos for r in got] == list(range(502))
 
 
 def test_line_numbers_across_file_splits(spark, small, tmp_path):
@@ -198,6 +200,13 @@ def test_positional_trim_needs_totals(drop):
         filters.positional_trim(drop(DROP, scan_mode="record"))
 
 
+def test_compact_landing_keeps_every_line(spark, small, tmp_path):
+    write(tmp_path / "d", "a.csv", DROP * 20)
+    lines = jobs.prepare(spark, str(tmp_path / "d"), small, landed=str(tmp_path / "landed"), compact=True)
+    assert values(lines) == DROP * 20
+    assert values(jobs.reopen(spark, str(tmp_path / "landed"))) == DROP * 20
+
+
 def test_unknown_types_are_kept(drop):
     odd = ["", "zz,1", "é,2", "9", row(24, 3)]
     lines = drop(odd)

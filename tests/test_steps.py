@@ -101,9 +101,9 @@ def test_names(spark):
 
 def test_field_without_parsing_the_line(spark):
     lines = ["24,I,1,7,x", "24,I,1,7", "24,I,1", "", '24,"a,b",1,7,x', '24,"a,""b"",",1,"7",x', '24,I,1,7,"x,y"',
-             "24,I,1,,x", '24,"a,b",1']
+             "24,I,1,,x", '24,"a,b",1', '24,"a"",b",1,"7" ,x']
     df = spark.createDataFrame([(v,) for v in lines], "v STRING").select(csvtext.field_at(F.col("v"), 3).alias("f"))
-    assert [r.f for r in df.collect()] == ["7", "7", "", "", "7", "7", "7", "", ""]
+    assert [r.f for r in df.collect()] == ["7", "7", "", "", "7", "7", "7", "", "", '7" ']
     firsts = spark.createDataFrame([("24,I",), ("",)], "v STRING").select(csvtext.field_at(F.col("v"), 0).alias("f"))
     assert [r.f for r in firsts.collect()] == ["24", ""]
 

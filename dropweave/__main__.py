@@ -24,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
         p = steps.add_parser(name, help=text)
         p.add_argument("--input", help="folder of drop files")
         p.add_argument("--output", required=True)
-        p.add_argument("--source", choices=("file", "directory"), default="file")
+        p.add_argument("--source", default="file", help="what a drop is: file, directory, or a partition column")
         p.add_argument("--glob", default=TEXT_FILES)
         if name != "count":
             p.add_argument("--landed", help="landed table: written when --input is given, else read")

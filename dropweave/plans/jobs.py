@@ -33,6 +33,8 @@ def scan_drop(spark: SparkSession, path: str, source: str = "file", glob: str =
     # A reader takes a list of names (as many as files, not as lines), and would expand wildcards.
     names = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row.part) for row in only.filter(~F.col("part").contains(".zip!")).select("part").collect()]
     zipped = read_zip(spark, path, keep_cr, only)
+    if source != "file":
+        source = "directory"  # a list of part files says nothing of partition columns
     return read_lines(spark, names, source, "*", keep_cr).unionByName(zipped) if names else zipped
 
 

@@ -37,13 +37,13 @@ def _serial():
 
 
 def _manifest(spark, sf_dir):
-    files = list_files(spark, sample.drop_dir(spark, sf_dir), "directory", PART_FILES)
+    files = list_files(spark, sample.drop_dir(spark, sf_dir), "source_file", PART_FILES)
     return counts.manifest(counts.count_records(landed_lines(spark, sf_dir)), files)
 
 
-def _read_back(spark, path) -> DataFrame:
+def _read_back(spark, path, source="directory") -> DataFrame:
     """Lines of a written directory tree in part-file order, numbered per directory."""
-    return number_lines(land(read_lines(spark, path, "directory", PART_FILES), SAMPLE))
+    return number_lines(land(read_lines(spark, path, source, PART_FILES), SAMPLE))
 
 
 # --- sources -------------------------------------------------------------------------
@@ -67,7 +67,7 @@ def zip_scan(spark, sf_dir):
 
 
 def file_list(spark, sf_dir):
-    return list_files(spark, sample.drop_dir(spark, sf_dir), "directory", PART_FILES).select("source_file").distinct()
+    return list_files(spark, sample.drop_dir(spark, sf_dir), "source_file", PART_FILES).select("source_file").distinct()
 
 
 def registry(spark, sf_dir):
@@ -90,7 +90,7 @@ def typed_scan(spark, sf_dir):
 
 def record_scan(spark, sf_dir):
     path = sample.document_dir(spark, sf_dir)
-    records = assemble_records(read_lines(spark, path, "directory", PART_FILES, keep_cr=True))
+    records = assemble_records(read_lines(spark, path, "source_file", PART_FILES, keep_cr=True))
     parsed = good_rows(parse_type(records, SAMPLE["31"]))
     return parsed.select(F.col("UPRN").alias("doc_id"), F.md5("NOTE").alias("text_md5"),
                          F.length("NOTE").alias("n_chars"), F.col("LANGUAGE").alias("lang"))
@@ -131,12 +131,12 @@ def _old_manifest(spark, sf_dir):
 
 
 def pending_files(spark, sf_dir):
-    files = list_files(spark, sample.drop_dir(spark, sf_dir), "directory", PART_FILES)
+    files = list_files(spark, sample.drop_dir(spark, sf_dir), "source_file", PART_FILES)
     return counts.pending_files(files, _old_manifest(spark, sf_dir))
 
 
 def manifest_refresh(spark, sf_dir):
-    files = list_files(spark, sample.drop_dir(spark, sf_dir), "directory", PART_FILES)
+    files = list_files(spark, sample.drop_dir(spark, sf_dir), "source_file", PART_FILES)
     old = _old_manifest(spark, sf_dir)
     pending = counts.pending_files(files, old)
     new = counts.count_records(raw_lines(spark, sf_dir)).join(pending, "source_file", "left_semi")
@@ -191,7 +191,7 @@ def csv_format(spark, sf_dir):
 def split(spark, sf_dir):
     path = staging_path(spark, "split")
     sinks.write_split(filters.keep_types(sample_lines(spark, sf_dir)), path, SAMPLE)
-    lines = read_lines(spark, path, "directory", PART_FILES)
+    lines = read_lines(spark, path, "split_file", PART_FILES)
     return lines.groupBy(F.col("source_file").alias("split_file")).agg(
         F.count("*").alias("n"), F.sum(csvtext.to_key(csvtext.field_at(F.col("value"), 3))).alias("key_sum"))
 
@@ -207,7 +207,7 @@ def merge_type(spark, sf_dir):
 def merge_all(spark, sf_dir):
     path = staging_path(spark, "merged")
     sinks.write_merged(filters.keep_types(sample_lines(spark, sf_dir)), path, SAMPLE)
-    lines = read_lines(spark, path, "directory", PART_FILES)
+    lines = read_lines(spark, path, "merged_file", PART_FILES)
     return lines.groupBy(F.col("source_file").alias("merged_file")).agg(
         F.count("*").alias("n"), F.sum(csvtext.to_key(csvtext.field_at(F.col("value"), 3))).alias("key_sum"))
 
@@ -285,7 +285,7 @@ def group_gapped(spark, sf_dir):
 def _chunks(spark, sf_dir, parent, children, size):
     path = staging_path(spark, "chunks")
     sinks.write_chunks(grouping.group_in_chunks(sample_lines(spark, sf_dir), parent, children, size), path)
-    return _read_back(spark, path).select(
+    return _read_back(spark, path, "part_file").select(
         F.col("source_file").alias("part_file"), "line_no", "record_type", "key", _serial())
 
 

@@ -102,7 +102,7 @@ def drop_dir(spark: SparkSession, sf_dir: str, codec: str = "none") -> str:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, codec: str = "none") -> DataFrame:
-    return read_lines(spark, drop_dir(spark, sf_dir, codec), source="directory", glob=PART_FILES)
+    return read_lines(spark, drop_dir(spark, sf_dir, codec), "source_file", PART_FILES)
 
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,15 +21,10 @@ def decoded(path: Column) -> Column:
     return F.when(path.contains("%"), plain).otherwise(path)
 
 
-def _source_name(path: Column, source: str) -> Column:
-    """Runs for every line of a scan, so it is plain substring work."""
-    if source == "file":
-        return decoded(F.substring_index(path, "/", -1))
-    if source == "directory":
-        # A drop kept as a directory of part files; Spark's own naming is source_file=<name>.
-        folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-        return decoded(F.substring_index(folder, "=", -1))
-    raise ValueError(f"source must be 'file' or 'directory', not {source!r}")
+def _folder_name(path: Column) -> Column:
+    """Name of the enclosing directory, without the ``column=`` Spark puts in front."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return decoded(F.substring_index(folder, "=", -1))
 
 
 def without_cr(text: Column) -> Column:
@@ -41,14 +36,23 @@ def read_lines(spark: SparkSession, path: str | list[str], source: str = "file",
     """Scan plain and gzip text: one row per line, with file lineage.
 
     ``(part, block, pos)`` is the line's place: physical file, start of the file split, and
-    a number that rises within the split.  It costs no shuffle.  ``source`` says whether a
-    drop is one file or a directory of part files.
+    a number that rises within the split.  It costs no shuffle.
+
+    ``source`` says what a drop is: one ``file``, a ``directory`` of part files, or the name
+    of a partition column (``<column>=<drop>/part-...``, as Spark writes it).  The last is
+    the cheaper one of the two kinds of directory, being no work per line.
     """
-    raw = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", glob).text(path))
+    reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob)
+    if source in ("file", "directory"):
+        raw = reader.option("recursiveFileLookup", "true").text(path)
+        name = (decoded(F.col("_metadata.file_name")) if source == "file"
+                else _folder_name(F.col("_metadata.file_path")))
+    else:
+        raw = reader.schema(f"value STRING, `{source}` STRING").text(path)
+        name = F.col(source)
     value = F.col("value") if keep_cr else without_cr(F.col("value"))
     return raw.select(
-        _source_name(F.col("_metadata.file_path"), source).alias("source_file"),
+        name.alias("source_file"),
         F.col("_metadata.file_path").alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
@@ -63,7 +67,8 @@ def list_files(spark: SparkSession, path: str, source: str = "file", glob: str =
     index = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     names = [(name,) for name in index.format("binaryFile").load(path).inputFiles()]
     listed = spark.createDataFrame(names, "part STRING")
-    return listed.select(_source_name(F.col("part"), source).alias("source_file"), decoded(F.col("part")).alias("part"))
+    name = decoded(F.substring_index("part", "/", -1)) if source == "file" else _folder_name(F.col("part"))
+    return listed.select(name.alias("source_file"), decoded(F.col("part")).alias("part"))
 
 
 def land(lines: DataFrame, registry: Registry, path: str | None = None, compact: bool = False) -> DataFrame:

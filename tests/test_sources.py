@@ -86,6 +86,19 @@ def test_carriage_returns_and_odd_file_names(spark, small, tmp_path):
     assert {(r.source_file, r.n) for r in got if r.record_type == "24"} == {("a b+c%20.csv", 2), ("x[1]{2}.csv", 2)}
 
 
+def test_a_drop_can_be_a_directory_of_part_files(spark, small, tmp_path):
+    write(tmp_path / "d", "x", [])
+    for name, lines in (("part-10", DROP[3:]), ("part-9", DROP[:3])):  # shorter names come first
+        write(tmp_path / "d" / "source_file=a b.csv", name, lines)
+    for source in ("directory", "source_file"):
+        lines = jobs.prepare(spark, str(tmp_path / "d"), small, source=source, glob="part-*")
+        assert values(lines) == DROP
+        assert {(r.source_file, r.n_lines) for r in lines.collect()} == {("a b.csv", 6)}
+        got = jobs.count_all(spark, str(tmp_path / "d"), str(tmp_path / source), source, "part-*").collect()
+        assert {(r.source_file, r.record_type, r.n) for r in got} == {
+            ("a b.csv", t, n) for t, n in (("10", 1), ("21", 1), ("24", 2), ("29", 1), ("99", 1))}
+
+
 def test_zero_byte_file_is_listed_and_not_pending_again(spark, tmp_path):
     folder, path = tmp_path / "d", str(tmp_path / "manifest")
     write(folder, "good.csv", DROP)

@@ -27,7 +27,7 @@ def test_merge_counts_equal_manifest_counts_and_split_then_merge_is_merge(spark,
     for record_id, name in (("21", "BPLU"), ("24", "LPI"), ("11", "Street")):
         assert len(text(spark, f"{merged}/merged_file=Records_{name}.csv")) == wanted[record_id]
     assert text(spark, f"{split}/split_file=f0_r24.csv") == [row(24, 3, "c"), row(24, 1, "d")]
-    jobs.merge_all(jobs.prepare(spark, split, small, source="directory", glob="part-*"), again, small)
+    jobs.merge_all(jobs.prepare(spark, split, small, source="split_file", glob="part-*"), again, small)
     for name in ("BPLU", "LPI", "Street"):
         assert text(spark, f"{again}/merged_file=Records_{name}.csv") == text(spark, f"{merged}/merged_file=Records_{name}.csv")
 

@@ -24,12 +24,11 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark, con, sf_dir: str, name: str) -> str:
+def compare(df, con, name: str) -> str:
     """Empty when query and SQL agree on columns, types and rows."""
-    df = entry.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = df.select(*columns).toArrow()
-    sql = con.execute(entry.oracle_sql()[name]).to_arrow_table()
+    sql = con.sql(entry.oracle_sql()[name]).to_arrow_table()
     if sorted(sql.column_names) != columns:
         return f"columns {columns} != {sorted(sql.column_names)}"
     want = sql.select(columns)
@@ -57,7 +56,7 @@ def main() -> int:
     for name in names:
         began = time.time()
         try:
-            problem = compare(spark, con, sf_dir, name)
+            problem = compare(entry.queries()[name](spark, sf_dir), con, name)
         except Exception as exc:  # report and go on with the other queries
             problem = f"{type(exc).__name__}: {str(exc)[:600]}"
         failed += bool(problem)

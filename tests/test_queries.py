@@ -1,5 +1,8 @@
+from pathlib import Path
+
 import pytest
 
+import dropweave
 import __spark_entry__ as entry
 from check_oracle import compare, connect
 
@@ -17,7 +20,20 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query_agrees_with_sql(spark, con, name):
-    assert compare(spark, con, SF_DIR, name) == ""
+    df = entry.queries()[name](spark, SF_DIR)
+    assert compare(df, con, name) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "GlobalLimit"):
+        assert node not in plan
+    assert ("MapInArrow" in plan) == (name == "q_zip_scan")
+
+
+def test_no_window_over_everything():
+    """Only the list of sort partitions may go through a window without a partition clause."""
+    package = Path(dropweave.__file__).parent
+    found = [path.name for path in package.rglob("*.py") for line in path.read_text().splitlines()
+             if "Window.orderBy" in line]
+    assert found == ["ordering.py"]
 
 
 def test_flagship_has_rows(spark):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import zipfile
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from dropweave.sources.lines import land, number_lines, read_lines
 
 SOURCES = 8
 PART_FILES = "part-*"
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TEXT_PER_TABLE_BYTE = 4
 
 SAMPLE = Registry([

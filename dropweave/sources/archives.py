@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import zipfile
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
@@ -9,6 +10,7 @@ from typing import BinaryIO
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from dropweave.sources.lines import LINE_SCHEMA
 
 BATCH_BYTES = 4 * 1024 * 1024
 
+# Functions sent to tasks carry their code along, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def open_uri(uri: str) -> BinaryIO:
     """Open a file of any store pyarrow knows, seekable, from inside a task."""

@@ -2,6 +2,8 @@ import csv
 import gzip
 import io
 import random
+import subprocess
+import sys
 import zipfile
 
 import pytest
@@ -59,6 +61,17 @@ def test_zip_is_read_in_batches(spark, tmp_path, monkeypatch):
     assert [r.pos for r in got] == list(range(502))
 
 
+def test_task_functions_do_not_need_the_package(tmp_path):
+    from pyspark import cloudpickle
+    from dropweave.sources.archives import _line_blocks
+    code = cloudpickle.dumps(lambda data: list(_line_blocks(io.BytesIO(data), False)))
+    check = ("import sys, pickle; f = pickle.load(sys.stdin.buffer); "
+             "assert f(b'a\\r\\nb') == [['a'], ['b']], f(b'a\\r\\nb'); assert not any('dropweave' in m for m in sys.modules)")
+    done = subprocess.run([sys.executable, "-c", check], input=code, cwd=tmp_path, capture_output=True, check=False,
+                          timeout=60)
+    assert done.returncode == 0, done.stderr.decode()
+
+
 def test_line_numbers_across_file_splits(spark, small, tmp_path):
     lines = [row(24, n, "z" * (n % 50)) for n in range(3000)]
     write(tmp_path / "d", "big.csv", lines)

@@ -9,8 +9,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropweave.llm import hash_tree, one_bit_ann, sentencepiece_codec, url_trees, warc
-from dropweave.llm._common import table
+from dropweave.llm import (edit_decontamination, hash_tree, one_bit_ann, passage_attention, sentencepiece_codec, toxicity_gru,
+                           url_trees, warc)
+from dropweave.llm._common import id_crc, table
+from dropweave.llm._learning import judged, labelled_sample, scored
 
 TREE = hash_tree.Tree.regular(regions=5, racks=2, shards=4)
 RULES = [url_trees.Rule.of(verdict, text) for verdict, text in (
@@ -32,6 +34,14 @@ def one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_bit_ann.search(vectors, vectors.filter("vec_id % 20 = 0"), NEIGHBOURS)
 
 
+def passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts, labels = labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", id_crc("doc_id") % 4 == 2,
+                                    passage_attention.PER_CLASS, passage_attention.SAMPLE_BYTES)
+    model = passage_attention.train(texts, labels)
+    return judged(docs, scored(docs, model, passage_attention.score, "doc_id", "text"), 4, 2, 0.7)
+
+
 def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(spark, table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -52,10 +62,29 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", F.col("score"))
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity_gru.Network | float:
+    """Trained on labelled rows outside the held-out fifth."""
+    texts, known = labelled_sample(docs, labels, "toxic", id_crc("doc_id") % 5 == 0, toxicity_gru.PER_CLASS, toxicity_gru.SAMPLE_BYTES)
+    return toxicity_gru.train(texts, known)
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return judged(docs, scored(docs, model, toxicity_gru.score, "doc_id", "text"), 5, 0, 0.5)
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ALL = {
     "op1_one_bit_neighbours": one_bit_neighbours,
+    "op2_passage_quality": passage_quality,
     "op3_warc": warc_records,
     "op4_sentencepiece": sentencepiece,
     "op7_hash_tree": hash_shards,
     "op8_url_trees": url_verdicts,
+    "op9_toxicity_gru": toxicity,
+    "op10_edit_decontamination": decontamination,
 }

@@ -32,6 +32,20 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
+# Shingles of whole texts, links from exact counts of shared shingles, then the smallest id over paths of links.
+OP6 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[^\x20\x09-\x0D]+') ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) g FROM w),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id a, b.doc_id b, count(*) k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id reached FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
+"""
+
 
 def _draw(level: str, name: str, weight: str) -> str:
     return (f"(-ln((('0x' || md5(k || '/{level}/' || {name})[1:12])::BIGINT + 0.5) / 281474976710656.0) / {weight})")
@@ -62,4 +76,4 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY h, doc_id, size, text_crc32) - 1 AS slot, grown_shard FROM f
 """
 
-ALL = {"op1_one_bit_neighbours": OP1, "op3_warc": OP3, "op7_hash_tree": OP7}
+ALL = {"op1_one_bit_neighbours": OP1, "op3_warc": OP3, "op6_jaccard_join": OP6, "op7_hash_tree": OP7}

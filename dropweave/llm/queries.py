@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropweave.llm import (edit_decontamination, hash_tree, jaccard_join, one_bit_ann, passage_attention, sentencepiece_codec, toxicity_gru,
+from dropweave.llm import (edit_decontamination, hash_tree, jaccard_join, line_edit_join, one_bit_ann, passage_attention, sentencepiece_codec, toxicity_gru,
                            url_trees, warc)
 from dropweave.llm._common import id_crc, table
 from dropweave.llm._learning import judged, labelled_sample, scored
@@ -53,6 +53,10 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(docs, pieces).select("doc_id", "n_tokens", "ids", "round_trip")
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_edit_join.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -87,6 +91,7 @@ ALL = {
     "op2_passage_quality": passage_quality,
     "op3_warc": warc_records,
     "op4_sentencepiece": sentencepiece,
+    "op5_line_edit_join": line_dedup,
     "op6_jaccard_join": jaccard_components,
     "op7_hash_tree": hash_shards,
     "op8_url_trees": url_verdicts,

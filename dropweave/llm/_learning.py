@@ -47,16 +47,16 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def scored(docs: DataFrame, model, score: Callable, id_column: str, text: str, output: str = "score") -> DataFrame:
-    """``(id, output)`` for every row; ``score(model, texts)`` gets texts of a few MB, null as empty."""
+def scored(docs: DataFrame, model, score: Callable, text: str, keep: list[str], output: str = "score") -> DataFrame:
+    """Columns ``keep`` and ``output`` of every row; ``score(model, texts)`` gets texts of a few MB, null as empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(id_column, text)
-    schema = T.StructType([rows.schema[0], T.StructField(output, T.DoubleType(), False)])
+    rows = docs.select(F.col(text).alias("_text_of_score"), *keep)
+    schema = T.StructType([*rows.schema.fields[1:], T.StructField(output, T.DoubleType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, text):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score(sent.value, texts), pa.float64())], schema.names)
+        for batch in text_chunks(batches, "_text_of_score"):
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score(sent.value, texts), pa.float64())], schema.names)
 
     return rows.mapInArrow(run, schema)
 

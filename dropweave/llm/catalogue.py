@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from dropweave.llm import oracles, queries as own
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(own.ALL)
+    return own.ALL | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -39,7 +39,7 @@ def passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts, labels = labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", id_crc("doc_id") % 4 == 2,
                                     passage_attention.PER_CLASS, passage_attention.SAMPLE_BYTES)
     model = passage_attention.train(texts, labels)
-    return judged(docs, scored(docs, model, passage_attention.score, "doc_id", "text"), 4, 2, 0.7)
+    return judged(docs, scored(docs, model, passage_attention.score, "text", ["doc_id"]), 4, 2, 0.7)
 
 
 def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity_gru.Network |
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return judged(docs, scored(docs, model, toxicity_gru.score, "doc_id", "text"), 5, 0, 0.5)
+    return judged(docs, scored(docs, model, toxicity_gru.score, "text", ["doc_id"]), 5, 0, 0.5)
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

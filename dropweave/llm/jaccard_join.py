@@ -11,8 +11,8 @@ link when 100 * intersection >= percent * union.
 3. Prefix shingles of a single group are dropped after a count.  The first group pairs join every group of a shingle to one pivot,
    so a shingle with n groups gives n pairs, not n * n.  Pairs whose sizes cannot link are dropped; the rest are
    expanded to members and verified on whole texts.
-4. Components of these links leave only shingles whose groups lie in several components; their pairs across components
-   are all joined, expanded and verified.  Pairs inside a component can change no component and need no test,
+4. Components of these links leave only shingles whose groups lie in several components; of their pairs across components those
+   that share as many prefix shingles as linked documents must are expanded and verified.  Pairs inside a component can change no component and need no test,
    so no link between components is lost.
 
 Verification sends a hub document and its partners to a task in portions of ``PORTION`` pairs, and holds one hub at a time.
@@ -39,8 +39,9 @@ from dropweave.llm._words import NOT_BLANK, mixed, words
 from dropweave.session import stage
 
 SIZE, PERCENT = 5, 80
-BUCKETS, SLICES = 1 << 20, 64
+BUCKETS, SLICES = 1 << 22, 64
 MERGED = 256
+LIST, TILE, COLUMNS = 64, 256, 4096
 PORTION = 256
 BROADCAST_IDS = 2_000_000
 SETS = "doc_id long, text_key long, n long, d1 long, d2 long, g long, prefix array<long>"
@@ -73,7 +74,7 @@ def _coded(batch: pa.RecordBatch, column: str) -> list[bytes]:
 
 
 def bucket_counts(docs: DataFrame, text: str, size: int) -> np.ndarray:
-    """How many shingles of all documents fall in each bucket: 8 MB whatever the input."""
+    """How many shingles of all documents fall in each bucket: 16 MB whatever the input.  Counts stop at 2**32 - 1."""
     width = BUCKETS // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,23 +85,26 @@ def bucket_counts(docs: DataFrame, text: str, size: int) -> np.ndarray:
             salt = int(total.sum()) % 65_521
         yield _slices(total.reshape(SLICES, width), salt)
 
+    def packed_counts(row: np.ndarray) -> bytes:
+        return zlib.compress(np.minimum(row, 2**32 - 1).astype(np.uint32).tobytes(), 1)
+
     def _slices(rows: np.ndarray, salt: int) -> pa.RecordBatch:
-        packed = [zlib.compress(row.tobytes(), 1) for row in rows]
+        packed = [packed_counts(row) for row in rows]
         return pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()),
                                            "salt": pa.array([salt] * SLICES, pa.int32()), "counts": pa.array(packed, pa.binary())})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in group["counts"])
-        return group.iloc[:1].assign(counts=[zlib.compress(total.tobytes(), 1)])
+        total = sum(np.frombuffer(zlib.decompress(c), np.uint32).astype(np.int64) for c in group["counts"])
+        return group.iloc[:1].assign(counts=[packed_counts(total)])
 
     schema = "slice int, salt int, counts binary"
     partial = docs.select(text).mapInArrow(count, schema)
     # Two rounds: first a few hundred tables at most in a group, then one row per slice and first-round group.
     partial = partial.withColumn("salt", F.pmod("salt", F.lit(MERGED)))
     merged = partial.groupBy("slice", "salt").applyInPandas(add, schema).groupBy("slice").applyInPandas(add, schema)
-    out = np.zeros((SLICES, width), np.int64)
+    out = np.zeros((SLICES, width), np.uint32)
     for row in merged.collect():  # SLICES rows of a fixed size
-        out[row.slice] = np.frombuffer(zlib.decompress(row.counts), np.int64)
+        out[row.slice] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
     return out.reshape(-1)
 
 
@@ -212,13 +216,9 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size:
     spans = placed.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     apart = (held.select("token", "g").join(spans, "g").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
              .filter("low <> high").select("token"))
-    open_ = stage(held.select("token", "g").join(apart, "token").join(
-        spans.join(groups.select("g", "n"), "g"), "g").select("token", "g", "n", "low", "high"), "open-postings")
-    left, right = (open_.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("g", "n", "low", "high"))) for s in "ab")
-    across = left.join(right, "token").filter(
-        (F.col("g_a") < F.col("g_b")) & _sizes_fit(percent)
-        & ((F.col("low_a") != F.col("low_b")) | (F.col("low_a") != F.col("high_a")) | (F.col("low_b") != F.col("high_b")))
-    ).select("g_a", "g_b").distinct()
+    open_ = held.select("token", "g").join(apart, "token").join(
+        spans.join(groups.select("g", "n"), "g"), "g").select("token", "g", "n", "low", "high")
+    across = stage(pairs_across(stage(open_, "open-postings"), percent), "pairs-across")
     inner = placed.join(spans.filter("low <> high").select("g"), "g")
     one, two = (placed.select(F.col("g").alias(f"g_{s}"), F.col("rep").alias(s), F.col("component").alias(f"c_{s}")) for s in "ab")
     rest = across.join(one, "g_a").join(two, "g_b").filter("c_a <> c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(
@@ -235,6 +235,70 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size:
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), "d1", "d2")
 
 
+def least_shared(percent: int, n_a, n_b, at_least, ceil):
+    """The fewest prefix shingles that linked documents share.
+
+    They share at least percent / (100 + percent) of both sizes.  Of two prefixes take the one that ends first in the order:
+    beyond its end its document has ceil(n * percent / 100) - 1 shingles left, and all that is shared before lies in both prefixes.
+    """
+    return ceil((n_a + n_b) * percent / (100 + percent)) - ceil(at_least(n_a, n_b) * percent / 100) + 1
+
+
+def pairs_across(postings: DataFrame, percent: int) -> DataFrame:
+    """``(g_a, g_b)`` of groups with members in different components that share enough prefix shingles to link.
+
+    ``postings`` is ``(token, g, n, low, high)``: a group's smallest and largest component.  Lists of up to ``LIST`` groups
+    are joined by token and counted by pair.  Groups of longer lists are gathered by the smallest group of the
+    list, cut into blocks of about ``TILE``, and each pair of blocks is counted in a task of its own, which returns only
+    pairs that can link; so a list of n groups is not a join of n * n rows.
+    """
+    long_lists = stage(postings.groupBy("token").agg(F.min("g").alias("pivot"), F.count(F.lit(1)).alias("held")).filter(
+        F.col("held") > LIST).select("token", "pivot"), "long-lists")
+    marked = stage(postings.join(long_lists, "token", "left"), "marked-postings")
+    in_long = marked.groupBy("g").agg(F.count("pivot").alias("long"))
+    short = marked.filter("pivot IS NULL").join(in_long, "g")
+    left, right = (short.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("g", "n", "low", "high", "long"))) for s in "ab")
+    apart = (F.col("low_a") != F.col("low_b")) | (F.col("low_a") != F.col("high_a")) | (F.col("low_b") != F.col("high_b"))
+    counted = left.join(right, "token").filter((F.col("g_a") < F.col("g_b")) & _sizes_fit(percent) & apart).groupBy("g_a", "g_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.min(F.least("long_a", "long_b")).alias("long"))
+    by_join = counted.filter(F.col("shared") + F.col("long") >= least_shared(
+        percent, F.col("n_a"), F.col("n_b"), F.greatest, lambda x: F.ceil(x))).select("g_a", "g_b")
+
+    places = marked.filter("pivot IS NOT NULL").select("pivot", "g").distinct()
+    blocks = places.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+    contents = marked.groupBy("g").agg(F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"),
+                                       F.collect_list("token").alias("tokens"))  # a document's prefix at most
+    own = F.pmod(F.xxhash64("g"), F.col("blocks").cast("long")).cast("int")
+    tiles = (places.join(blocks, "pivot").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "g"))
+
+    def count(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("g", ignore_index=True)
+        flat = np.concatenate(tile["tokens"].to_numpy())
+        row = np.repeat(np.arange(len(tile)), tile["tokens"].map(len))
+        column = np.unique(flat, return_inverse=True)[1]
+        shared = np.zeros((len(tile), len(tile)), np.float32)
+        for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+            part = (column >= first) & (column < first + COLUMNS)
+            held = np.zeros((len(tile), COLUMNS), np.float32)
+            held[row[part], column[part] - first] = 1
+            shared += held @ held.T
+        n, low, high, block = (tile[c].to_numpy() for c in ("n", "low", "high", "own"))
+        big, small = np.maximum(n[:, None], n), np.minimum(n[:, None], n)
+        needed = (-(-(big + small) * percent // (100 + percent)) - -(-big * percent // 100) + 1)
+        ok = (shared >= np.maximum(needed, 1)) & (small * 100 >= big * percent)
+        ok &= (low[:, None] != low) | (low != high)[:, None] | (low != high)
+        if tile["i"].iloc[0] != tile["j"].iloc[0]:
+            ok &= block[:, None] != block
+        a, b = np.nonzero(np.triu(ok, 1))
+        g = tile["g"].to_numpy()
+        return pd.DataFrame({"g_a": g[a], "g_b": g[b]})
+
+    by_tile = tiles.join(contents, "g").groupBy("pivot", "i", "j").applyInPandas(count, "g_a long, g_b long")
+    return by_join.union(by_tile).distinct()
+
+
 def docs_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
 

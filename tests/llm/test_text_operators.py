@@ -206,7 +206,10 @@ def linked(rows, percent=80):
     return {(d, len(found[i]), low[root(i)]) for i, (d, _) in enumerate(rows)}
 
 
-def test_join_equals_brute_force(spark):
+@pytest.mark.parametrize("most, tile", [(64, 256), (1, 8)])
+def test_join_equals_brute_force(spark, monkeypatch, most, tile):
+    monkeypatch.setattr(jaccard_join, "LIST", most)
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
     words = [f"W{i}" for i in range(60)]
     base = [[draw.choice(words) for _ in range(draw.randrange(3, 60))] for _ in range(25)]
     rows = []

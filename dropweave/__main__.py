@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--types", type=_ids, default=LOCATION_IDS)
         p.add_argument("--include-headers", action="store_true")
         p.add_argument("--trim", choices=("type", "position"), default="type")
+        p.add_argument("--rejects")
         if name == "merge":
             p.add_argument("--prefix", default="Records_")
     p = step("sort", "sort types by a field")
@@ -60,9 +61,11 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     embedded = SparkSession.getActiveSession() is not None
     spark = build_session()
-    run(spark, args)
-    if not embedded:
-        clear_staging(spark)
+    try:
+        run(spark, args)
+    finally:
+        if not embedded:
+            clear_staging(spark)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -80,10 +83,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         raise SystemExit("give --input, --landed or both")
     if args.step == "split":
-        jobs.split_all(lines, args.output, registry, args.types, args.include_headers, args.trim, args.mode)
+        jobs.split_all(lines, args.output, registry, args.types, args.include_headers, args.trim, args.mode, args.rejects)
     elif args.step == "merge":
         jobs.merge_all(lines, args.output, registry, args.types, args.prefix, args.include_headers,
-                       args.trim, args.mode)
+                       args.trim, args.mode, args.rejects)
     elif args.step == "sort":
         jobs.sort_records(lines, args.output, registry, args.types, args.field, args.prefix,
                           rejects=args.rejects, mode=args.mode)

@@ -69,14 +69,21 @@ def file_stem(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def base_name(source_file: Column) -> Column:
+    """The bare file name of a drop named by its path, or by ``archive!member``."""
+    return F.element_at(F.split(source_file, "[/!]"), -1)
+
+
 def drop_suffix(name: Column, suffix: str = ".yml") -> Column:
     """The name without a trailing ``suffix``."""
     return F.when(name.endswith(suffix), F.substring(name, F.lit(1), F.length(name) - len(suffix))).otherwise(name)
 
 
 def split_name(source_file: Column, record_type: Column) -> Column:
-    """``x.csv`` and type 24 give ``x_r24.csv``."""
-    return F.replace(source_file, F.lit(".csv"), F.concat(F.lit("_r"), record_type, F.lit(".csv")))
+    """``x.csv`` and ``x.csv.gz`` with type 24 give ``x_r24.csv``, ``x.gz`` and ``x`` give ``x_r24``."""
+    plain = F.regexp_replace(source_file, r"(?i)\.gz$", "")
+    suffix = F.regexp_extract(plain, r"(?i)(\.csv)$", 1)
+    return F.concat(F.left(plain, F.length(plain) - F.length(suffix)), F.lit("_r"), record_type, suffix)
 
 
 def part_name(chunk: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dropweave.functions import csvtext
@@ -21,9 +23,7 @@ def _narrow(lines: DataFrame, ids) -> DataFrame:
 
 
 def with_type(lines: DataFrame, record_id: str) -> DataFrame:
-    if "family" in lines.columns and record_id not in CONTROL_IDS:
-        return lines.filter((F.col("family") == record_id) & (F.col("record_type") == record_id))
-    return lines.filter(_record_type(lines) == record_id)
+    return _narrow(lines, [record_id]).filter(_record_type(lines) == record_id)
 
 
 def keep_types(lines: DataFrame, ids=LOCATION_IDS) -> DataFrame:
@@ -35,6 +35,21 @@ def drop_control(lines: DataFrame, ids=CONTROL_IDS) -> DataFrame:
     return lines.filter(~_record_type(lines).isin(list(ids)))
 
 
+def why_left_out(record_type: Column, known: Sequence[str], wanted: Sequence[str]) -> Column:
+    """Why a job on the types ``wanted`` leaves a line out; null if it does not."""
+    return (F.when(record_type.isin(list(wanted)), F.lit(None))
+            .when(record_type.isin(list(CONTROL_IDS)), F.lit("control"))
+            .when(record_type.isin(list(known)), F.lit("not_requested")).otherwise(F.lit("unknown_type")))
+
+
+def left_out(lines: DataFrame, known: Sequence[str], wanted: Sequence[str]) -> DataFrame:
+    """The lines ``keep_types`` drops, with the reason.  ``known`` are the declared types."""
+    rows = lines.withColumn("record_type", _record_type(lines))
+    reason = why_left_out(F.col("record_type"), known, wanted)
+    return rows.withColumn("reason", reason).filter("reason IS NOT NULL").select(
+        "reason", "source_file", "line_no", "record_type", "value")
+
+
 def positional_trim(numbered: DataFrame, first: int = 1, last: int = 2) -> DataFrame:
     """Leave out the first and the last lines of each source, whatever they hold.
 

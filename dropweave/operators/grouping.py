@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dropweave.functions import csvtext
 from dropweave.functions.registry import Registry
-from dropweave.operators.filters import with_type
+from dropweave.operators.filters import why_left_out
 from dropweave.operators.ordering import key_offsets, place_in_group, with_bucket
 from dropweave.session import BROADCAST_ROWS, stage
 
@@ -88,18 +86,27 @@ def orphans(lines: DataFrame, parent: str, children: tuple[str, ...]) -> DataFra
 
 
 def rejects(lines: DataFrame, registry: Registry, parent: str, children: tuple[str, ...]) -> DataFrame:
-    """Lines that do not take part in the groups or in typed output, one row per reason."""
-    columns = ["reason", "source_file", "line_no", "record_type", "value"]
+    """Lines that do not take part in the groups or in typed output, one row per reason.
+
+    Control lines, types the registry does not declare, declared types that are not asked for, keys that
+    are no numbers and children without a parent are in no group; corrupt lines are, but have no typed row.  One pass:
+    each line is parsed once, by its own type, and joined with the parent keys once.
+    """
     ids = (parent, *children)
-    without_key = reduce(DataFrame.unionByName, [with_type(lines, i) for i in ids]).filter(F.col("key").isNull())
-    parts = [without_key.withColumn("reason", F.lit("bad_key")),
-             orphans(lines, parent, children).withColumn("reason", F.lit("orphan"))]
+    of_type, no_key = F.col("record_type"), F.col("key").isNull()
+    corrupt = F.lit(False)
     for record_id in ids:
         # Not expanded into columns: a declared field may be called like one of ours.
         parsed = csvtext.parse_line(F.col("value"), registry[record_id])
-        corrupt = with_type(lines, record_id).filter(F.col("key").isNotNull() & parsed[csvtext.CORRUPT].isNotNull())
-        parts.append(corrupt.withColumn("reason", F.lit("corrupt")))
-    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+        corrupt = F.when(of_type == record_id, parsed[csvtext.CORRUPT].isNotNull()).otherwise(corrupt)
+    keys = parent_keys(lines, parent).withColumn("has_parent", F.lit(True))
+    reasons = F.array_compact(F.array(
+        why_left_out(of_type, registry.ids, ids),
+        F.when(of_type.isin(list(ids)) & no_key, F.lit("bad_key")),
+        F.when(of_type.isin(list(children)) & ~no_key & F.col("has_parent").isNull(), F.lit("orphan")),
+        F.when(of_type.isin(list(ids)) & ~no_key & corrupt, F.lit("corrupt"))))
+    return lines.join(keys, "key", "left").select(
+        F.explode(reasons).alias("reason"), "source_file", "line_no", "record_type", "value")
 
 
 def _nested(rows: DataFrame, children: tuple[str, ...]) -> DataFrame:
@@ -109,12 +116,12 @@ def _nested(rows: DataFrame, children: tuple[str, ...]) -> DataFrame:
     return rows.groupBy("key", "segment").agg(*arrays)
 
 
-def nest_by_key(lines: DataFrame, parent: str, children: tuple[str, ...], max_rows: int = 10_000) -> DataFrame:
+def nest_by_key(lines: DataFrame, parent: str, children: tuple[str, ...], max_rows: int) -> DataFrame:
     """Groups as rows: ``(key, segment, parents, <one array per child type>)``.
 
-    Array elements are ``(source_file, line_no, value)`` in line order.  A group of at most
-    ``max_rows`` lines is one row, segment 0.  A larger one goes on over further segments in
-    group order, so no array grows with the data and none of its lines is lost.
+    One row per key and segment.  A segment holds ``max_rows`` lines of the group in group order, the last
+    one the rest, so no array grows with the data and none of its lines is lost.  Array elements are
+    ``(source_file, line_no, value)`` in line order.
 
     Large keys are taken out before the shuffle that joins and nests the others, and are
     shuffled by segment instead of by key.

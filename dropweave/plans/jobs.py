@@ -35,7 +35,7 @@ def scan_drop(spark: SparkSession, path: str, source: str = "file", glob: str =
     zipped = read_zip(spark, path, keep_cr, only)
     if source != "file":
         source = "directory"  # a list of part files says nothing of partition columns
-    return read_lines(spark, names, source, "*", keep_cr).unionByName(zipped) if names else zipped
+    return read_lines(spark, names, source, "*", keep_cr, root=path).unionByName(zipped) if names else zipped
 
 
 def prepare(spark: SparkSession, path: str, registry: Registry, landed: str | None = None,
@@ -88,24 +88,38 @@ def _data_lines(lines: DataFrame, ids: tuple[str, ...], trim: str) -> DataFrame:
     return filters.keep_types(lines, ids)
 
 
+def _write_left_out(lines: DataFrame, registry: Registry, ids: tuple[str, ...], rejects: str | None, mode: str) -> None:
+    if rejects:
+        filters.left_out(lines, registry.ids, ids).write.mode(mode).partitionBy("reason").parquet(rejects)
+
+
 def split_all(lines: DataFrame, out: str, registry: Registry, ids: tuple[str, ...] = LOCATION_IDS,
-              include_headers: bool = False, trim: str = "type", mode: str = "errorifexists") -> None:
+              include_headers: bool = False, trim: str = "type", mode: str = "errorifexists",
+              rejects: str | None = None) -> None:
+    """Lines by file and type.  Lines of other types go to ``rejects`` with a reason, if it is given."""
+    _write_left_out(lines, registry, ids, rejects, mode)
     sinks.write_split(_data_lines(lines, ids, trim), out, registry, include_headers, mode)
 
 
 def merge_all(lines: DataFrame, out: str, registry: Registry, ids: tuple[str, ...] = LOCATION_IDS,
               prefix: str = "Records_", include_headers: bool = False, trim: str = "type",
-              mode: str = "errorifexists") -> None:
+              mode: str = "errorifexists", rejects: str | None = None) -> None:
+    """Lines of all files by type.  Lines of other types go to ``rejects`` with a reason, if it is given."""
+    _write_left_out(lines, registry, ids, rejects, mode)
     sinks.write_merged(_data_lines(lines, ids, trim), out, registry, prefix, include_headers, mode)
 
 
 def sort_records(lines: DataFrame, out: str, registry: Registry, ids: tuple[str, ...], field: str = "UPRN",
                  prefix: str = "Records_", header: bool = False, rejects: str | None = None,
                  mode: str = "errorifexists") -> None:
-    """One folder of sorted CSV files per type.  Lines that do not fit their type go to ``rejects``."""
+    """One folder of sorted CSV files per type.
+
+    Every line of a type is in its output: fields that do not fit are empty there.  With ``rejects``, lines that
+    do not fit go there instead, as they are.
+    """
     types = [registry[i] for i in ids]
     for record_id, typed in ordering.sort_types(lines, types, field).items():
-        sinks.write_table(good_rows(typed), f"{out}/{prefix}{registry[record_id].name}", header, mode)
+        sinks.write_table(good_rows(typed) if rejects else typed.drop(CORRUPT), f"{out}/{prefix}{registry[record_id].name}", header, mode)
         if rejects:
             bad = bad_rows(parse_type(lines, registry[record_id]))
             bad.select(CORRUPT).write.mode(mode).text(f"{rejects}/{prefix}{registry[record_id].name}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dropweave.plans.queries import LOOKUP_KEY, PARENTS_PER_CHUNK, ROWS_PER_BUCKET, STREETS_PER_CHUNK
+from dropweave.plans.queries import LOOKUP_KEY, PARENTS_PER_CHUNK, ROWS_PER_BUCKET, ROWS_PER_SEGMENT, STREETS_PER_CHUNK
 
 # The drop, rebuilt from the tables: f is the file number, k the key, s the serial.
 _DROP = """
@@ -167,6 +167,28 @@ WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
 SELECT k AS key, record_type, source_file, line_no, s AS serial FROM lines
 WHERE record_type IN ('24', '28') AND k NOT IN (SELECT n_nationkey FROM nation)"""),
     "q_rejects": _drop("""
-SELECT 'orphan' AS reason, record_type, count(*) AS n FROM lines
-WHERE record_type IN ('24', '28') AND k NOT IN (SELECT n_nationkey FROM nation) GROUP BY record_type"""),
+SELECT CASE WHEN record_type IN ('10', '29', '99') THEN 'control' WHEN record_type IN ('15', '21') THEN 'not_requested'
+            ELSE 'orphan' END AS reason, record_type, count(*) AS n
+FROM lines
+WHERE record_type <> '11' AND (record_type NOT IN ('24', '28') OR k NOT IN (SELECT n_nationkey FROM nation))
+GROUP BY record_type"""),
+    "q_open_quotes": """
+SELECT 'drop_' || f || '.csv' AS source_file, t AS record_type, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT doc_id % 8 AS f, '31' AS t, count(*) AS n FROM documents GROUP BY ALL
+  UNION ALL SELECT f, '31', 1 FROM range(8) AS r(f)
+  UNION ALL SELECT user_id % 8, '28', count(*) FROM events GROUP BY ALL) GROUP BY ALL""",
+    "q_same_names": """
+SELECT c_custkey % 25 || CASE WHEN c_custkey % 3 = 0 THEN '/x.zip!x.csv' ELSE '/x.csv' END AS source_file,
+       '21' AS record_type, count(*) AS n
+FROM customer GROUP BY ALL""",
+    "q_accounted": _drop("""
+SELECT CASE WHEN record_type IN ('10', '29', '99') THEN 'control' WHEN record_type IN ('15', '21') THEN 'not_requested'
+            WHEN record_type = '11' OR k IN (SELECT n_nationkey FROM nation) THEN 'grouped' ELSE 'orphan' END AS reason,
+       count(*) AS n
+FROM lines GROUP BY ALL"""),
+    "q_group_uprn_segments": _drop(f"""
+SELECT k AS key, i // {ROWS_PER_SEGMENT} AS segment, CAST(count(*) FILTER (type_rank = 0) AS INTEGER) AS n_parents,
+       CAST(count(*) FILTER (type_rank = 1) AS INTEGER) AS n_24, CAST(count(*) FILTER (type_rank = 2) AS INTEGER) AS n_28
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY type_rank, source_file, line_no) - 1 AS i FROM {_UPRN})
+GROUP BY ALL"""),
 }

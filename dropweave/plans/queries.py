@@ -12,7 +12,7 @@ from dropweave import sinks
 from dropweave.functions import csvtext
 from dropweave.functions.registry import LOCATION_IDS
 from dropweave.operators import counts, filters, grouping, ordering
-from dropweave.plans import sample
+from dropweave.plans import jobs, sample
 from dropweave.plans.sample import PART_FILES, SAMPLE, landed_lines, raw_lines, sample_lines, table
 from dropweave.session import staging_path
 from dropweave.sources.archives import read_zip
@@ -24,6 +24,7 @@ LOOKUP_KEY = 7
 PARENTS_PER_CHUNK = 500
 STREETS_PER_CHUNK = 5
 ROWS_PER_BUCKET = 10_000
+ROWS_PER_SEGMENT = 4
 UPRN = ("21", ("24", "28"))
 USRN = ("11", ("15",))
 # Streets have keys 0-24, so most orders and events have no parent here.
@@ -63,7 +64,9 @@ def gz_scan(spark, sf_dir):
 
 
 def zip_scan(spark, sf_dir):
-    return counts.count_records(read_zip(spark, sample.zip_dir(spark, sf_dir)))
+    """Every part file is an archive of its own; their members are named after the drop."""
+    lines = read_zip(spark, sample.zip_dir(spark, sf_dir))
+    return counts.count_records(lines.withColumn("source_file", csvtext.base_name(F.col("source_file"))))
 
 
 def file_list(spark, sf_dir):
@@ -96,6 +99,20 @@ def record_scan(spark, sf_dir):
                          F.length("NOTE").alias("n_chars"), F.col("LANGUAGE").alias("lang"))
 
 
+def open_quotes(spark, sf_dir):
+    """Records per file and type when every file ends in a quote nobody closes."""
+    path = sample.open_quote_dir(spark, sf_dir)
+    records = assemble_records(read_lines(spark, path, "source_file", PART_FILES, keep_cr=True))
+    return counts.count_records(records)
+
+
+def same_names(spark, sf_dir):
+    """The stored manifest of a drop whose files and archive members are all called x.csv, brought up to date twice."""
+    root, path = sample.same_names_dir(spark, sf_dir), staging_path(spark, "manifest")
+    jobs.count_all(spark, root, path)
+    return jobs.count_all(spark, root, path)
+
+
 def _sorted_rank(spark, typed: DataFrame) -> DataFrame:
     """Write a sorted table, scan it in part-file order, and give each row its line number."""
     path = staging_path(spark, "sorted")
@@ -304,7 +321,7 @@ def part_names(spark, sf_dir):
 
 
 def group_uprn_nested(spark, sf_dir):
-    nested = grouping.nest_by_key(sample_lines(spark, sf_dir), *UPRN)
+    nested = grouping.nest_by_key(sample_lines(spark, sf_dir), *UPRN, max_rows=10_000)
     serials = F.transform("type_24", lambda line: csvtext.field_at(line["value"], 2))
     return nested.select(
         "key", "segment", F.size("parents").alias("n_parents"), F.size("type_24").alias("n_24"),
@@ -332,6 +349,21 @@ def rejects(spark, sf_dir):
     return rejected.groupBy("reason", "record_type").agg(F.count("*").alias("n"))
 
 
+def accounted(spark, sf_dir):
+    """Every line of the drop: in a group, or left out for one reason."""
+    lines = sample_lines(spark, sf_dir)
+    grouped = grouping.group_by_key(lines, *GAPPED).select(F.lit("grouped").alias("reason"))
+    left = grouping.rejects(lines, SAMPLE, *GAPPED).filter("reason <> 'corrupt'").select("reason")
+    return grouped.union(left).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def group_uprn_segments(spark, sf_dir):
+    """Groups cut into segments of a few lines."""
+    nested = grouping.nest_by_key(sample_lines(spark, sf_dir), *UPRN, max_rows=ROWS_PER_SEGMENT)
+    return nested.select("key", "segment", F.size("parents").alias("n_parents"), F.size("type_24").alias("n_24"),
+                         F.size("type_28").alias("n_28"))
+
+
 ALL: dict[str, Query] = {
     f"q_{query.__name__}": query for query in (
         raw_scan, line_numbers, gz_scan, zip_scan, file_list, registry, typed_scan, record_scan, sorted_scan,
@@ -340,5 +372,6 @@ ALL: dict[str, Query] = {
         split, merge_type, merge_all, header_sink, null_sink,
         sort_uprn, sort_usrn, sort_multi, colocated, global_index,
         group_uprn, group_usrn, group_usrn_first, group_gapped, group_uprn_chunks, group_usrn_chunks, part_names,
-        group_uprn_nested, lookup_key, lookup_batch, orphans, rejects)
+        group_uprn_nested, lookup_key, lookup_batch, orphans, rejects,
+        open_quotes, same_names, accounted, group_uprn_segments)
 }

@@ -122,7 +122,7 @@ def zip_dir(spark: SparkSession, sf_dir: str) -> str:
     def make():
         from pyarrow import fs
         target = staging_path(spark, "zips")
-        uri = target if "://" in target else "file://" + target
+        uri = "file://" + target if target.startswith("/") else target.replace("s3a://", "s3://", 1)
         parts = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                  .option("pathGlobFilter", PART_FILES).load(drop_dir(spark, sf_dir)).select("path"))
         store, folder = fs.FileSystem.from_uri(uri)
@@ -145,6 +145,63 @@ def zip_dir(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, "zips", sf_dir, make)
 
 
+def same_names_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Customers in a folder per nation, each with a text and an archive of the same name and a note beside the data."""
+    def make():
+        from pyarrow import fs
+        target = staging_path(spark, "same-names")
+        uri = "file://" + target if target.startswith("/") else target.replace("s3a://", "s3://", 1)
+        rows = _data(table(spark, sf_dir, "customer"), "21", "c_custkey", "c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+        rows = rows.select((F.col("k") % 25).alias("folder"), (F.col("k") % 3 == 0).alias("zipped"), "k", "value")
+
+        def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            store, root = fs.FileSystem.from_uri(uri)
+            held, out, archive = None, None, None
+
+            def end():
+                for stream in (out, archive):
+                    if stream:
+                        stream.close()
+
+            for batch in batches:
+                for folder, zipped, value in zip(batch["folder"], batch["zipped"], batch["value"]):
+                    if (folder, zipped) != held:
+                        end()
+                        held, archive = (folder, zipped), None
+                        store.create_dir(f"{root}/{folder}")
+                        out = store.open_output_stream(f"{root}/{folder}/x.{'zip' if zipped else 'csv'}")
+                        if zipped:
+                            raw, archive = out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                            archive.writestr("readme.txt", "24 hours\n32 bits\n")
+                            out = archive.open("x.csv", "w", force_zip64=True)
+                    out.write(value.encode() + b"\n")
+                yield pd.DataFrame({"n": [len(batch)]})
+            end()
+            if archive:
+                raw.close()
+
+        # One task writes a file from its first line to its last; the folders are as many as nations.
+        (rows.repartition("folder", "zipped").sortWithinPartitions("folder", "zipped", "k").mapInPandas(pack, "n BIGINT")
+         .write.format("noop").mode("overwrite").save())
+        return target
+    return once(spark, "same-names", sf_dir, make)
+
+
+def open_quote_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as in ``document_dir``, each file ended by a quote nobody closes and a line per event below it."""
+    def make():
+        path = staging_path(spark, "open-quotes")
+        docs = _data(table(spark, sf_dir, "documents"), "31", "doc_id", "doc_id", "text", "lang")
+        opening = _control(spark, 2, "31").withColumn("value", F.lit('31,"I",1,1,"never closed'))
+        below = _data(table(spark, sf_dir, "events").withColumn("plain", F.lit("no quote")), "28", "user_id", "event_id", "plain").withColumn(
+            "section", F.lit(3))
+        order = ["source_file", "section", "k", "s"]
+        (docs.unionByName(opening).unionByName(below).repartition("source_file").sortWithinPartitions(*order)
+         .select("source_file", "value").write.partitionBy("source_file").text(path))
+        return path
+    return once(spark, "open-quotes", sf_dir, make)
+
+
 def document_dir(spark: SparkSession, sf_dir: str) -> str:
     """Documents as type-31 records; their texts hold line ends, commas and quotes."""
     def make():

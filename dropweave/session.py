@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -41,14 +43,14 @@ def input_bytes(spark: SparkSession, path: str, glob: str = "*") -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+def size_shuffles(spark: SparkSession, input_bytes: int, most: int = MAX_PARTITIONS) -> int:
     """Start adaptive shuffles with enough partitions for ``input_bytes``.
 
     Adaptive execution merges small shuffle partitions but cannot add any, so the number
     to start from has to follow the input.  Never goes below the configured number.
     """
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_PARTITIONS, max(floor, math.ceil(input_bytes / TARGET_PARTITION_BYTES)))
+    wanted = min(most, max(floor, math.ceil(input_bytes / TARGET_PARTITION_BYTES)))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted
 
@@ -64,10 +66,17 @@ def staging_root(spark: SparkSession) -> str:
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        configured = _local_roots.get(app) or _local_roots.setdefault(app, tempfile.mkdtemp(prefix="dropweave-"))
+        configured = _local_roots.get(app) or _local_root(app)
     return f"{configured.rstrip('/')}/dropweave/{app}"
 
 
+def _local_root(app: str) -> str:
+    """A folder of a local session, deleted when the process ends."""
+    root = _local_roots[app] = tempfile.mkdtemp(prefix="dropweave-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 

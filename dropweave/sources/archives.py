@@ -5,19 +5,21 @@ from __future__ import annotations
 import sys
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropweave.session import MAX_PARTITIONS, stage
-from dropweave.sources.lines import LINE_SCHEMA
+from dropweave.sources.lines import LINE_SCHEMA, relative_name, root_path
 
 BATCH_BYTES = 4 * 1024 * 1024
+DROP_SUFFIXES = (".csv",)
 
 # Functions sent to tasks carry their code along, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -53,7 +55,7 @@ def _split(data: bytes, keep_cr: bool) -> list[str]:
     return lines if keep_cr or "\r" not in text else [line.removesuffix("\r") for line in lines]
 
 
-def list_members(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] = open_uri) -> DataFrame:
+def all_members(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] = open_uri) -> DataFrame:
     """``(archive, member, size)`` of every file in every archive; reads the directories only."""
     archives = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                 .option("pathGlobFilter", "*.zip").load(path).select("path"))
@@ -69,17 +71,33 @@ def list_members(spark: SparkSession, path: str, opener: Callable[[str], BinaryI
     return archives.mapInPandas(members, "archive STRING, member STRING, size BIGINT")
 
 
+def _is_drop(suffixes: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, (F.lower("member").endswith(s) for s in suffixes))
+
+
+def list_members(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] = open_uri,
+                 suffixes: tuple[str, ...] = DROP_SUFFIXES) -> DataFrame:
+    """The members that are drops: ``(archive, member, size, source_file)``, the last of them ``archive!member`` under the root."""
+    name = F.concat(relative_name(F.col("archive"), root_path(spark, path)), F.lit("!"), "member")
+    return all_members(spark, path, opener).filter(_is_drop(suffixes)).withColumn("source_file", name)
+
+
+def other_members(spark: SparkSession, path: str, opener: Callable[[str], BinaryIO] = open_uri,
+                  suffixes: tuple[str, ...] = DROP_SUFFIXES) -> DataFrame:
+    """The members no job reads, such as notes beside the data: ``(archive, member, size)``."""
+    return all_members(spark, path, opener).filter(~_is_drop(suffixes))
+
+
 def member_files(members: DataFrame) -> DataFrame:
     """Members in the columns of ``list_files``."""
-    return members.select(F.element_at(F.split("member", "/"), -1).alias("source_file"),
-                          F.concat("archive", F.lit("!"), "member").alias("part"))
+    return members.select("source_file", F.concat("archive", F.lit("!"), "member").alias("part"))
 
 
 def read_zip(spark: SparkSession, path: str, keep_cr: bool = False, only: DataFrame | None = None,
              opener: Callable[[str], BinaryIO] = open_uri) -> DataFrame:
     """Lines of all members, in the same columns as ``read_lines``.
 
-    A member counts as a source file, as if it had been unpacked.  Members are spread over
+    A member with a drop's suffix counts as a source file, as if it had been unpacked beside its archive.  Members are spread over
     tasks of their own and streamed, so neither the size of an archive nor that of a member
     is bounded by memory.  ``only`` restricts the scan to the parts it lists.
     """
@@ -94,9 +112,8 @@ def read_zip(spark: SparkSession, path: str, keep_cr: bool = False, only: DataFr
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for archive, member in zip(batch["archive"].to_pylist(), batch["member"].to_pylist()):
-                name, part = member.rsplit("/", 1)[-1], f"{archive}!{member}"
-
+            for archive, member, name in zip(*(batch[c].to_pylist() for c in ("archive", "member", "source_file"))):
+                part = f"{archive}!{member}"
                 with opener(archive) as handle, zipfile.ZipFile(handle) as zipped, zipped.open(member) as stream:
                     first = 0
                     for values in _line_blocks(stream, keep_cr):

@@ -27,25 +27,41 @@ def _folder_name(path: Column) -> Column:
     return decoded(F.substring_index(folder, "=", -1))
 
 
+def root_path(spark: SparkSession, path: str) -> str:
+    """The path of a drop folder without scheme, host and trailing slash, as file names under it begin."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(found).toUri().getPath().rstrip("/")
+
+
+def relative_name(part: Column, root: str) -> Column:
+    """What identifies a drop file: its path under the root.  A root that is the file itself, or holds wildcards,
+    leaves the bare name, or the whole path."""
+    path = F.regexp_replace(decoded(part), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+    return (F.when(path == root, F.substring_index(path, "/", -1))
+            .when(path.startswith(f"{root}/"), F.substr(path, F.lit(len(root) + 2))).otherwise(path))
+
+
 def without_cr(text: Column) -> Column:
     return F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
 
 
 def read_lines(spark: SparkSession, path: str | list[str], source: str = "file",
-               glob: str = TEXT_FILES, keep_cr: bool = False) -> DataFrame:
+               glob: str = TEXT_FILES, keep_cr: bool = False, root: str | None = None) -> DataFrame:
     """Scan plain and gzip text: one row per line, with file lineage.
 
     ``(part, block, pos)`` is the line's place: physical file, start of the file split, and
     a number that rises within the split.  It costs no shuffle.
 
-    ``source`` says what a drop is: one ``file``, a ``directory`` of part files, or the name
+    ``source`` says what a drop is: one ``file``, known by its path under ``root`` (``path`` itself unless given), so files of
+    equal names in different folders are different drops; a ``directory`` of part files, or the name
     of a partition column (``<column>=<drop>/part-...``, as Spark writes it).  The last is
     the cheaper one of the two kinds of directory, being no work per line.
     """
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob)
     if source in ("file", "directory"):
         raw = reader.option("recursiveFileLookup", "true").text(path)
-        name = (decoded(F.col("_metadata.file_name")) if source == "file"
+        name = (relative_name(F.col("_metadata.file_path"), root_path(spark, root or path)) if source == "file"
                 else _folder_name(F.col("_metadata.file_path")))
     else:
         raw = reader.schema(f"value STRING, `{source}` STRING").text(path)
@@ -65,9 +81,11 @@ def list_files(spark: SparkSession, path: str, source: str = "file", glob: str =
     A scan shows no row for a zero-byte file, so the names come from the file index.
     """
     index = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    names = [(name,) for name in index.format("binaryFile").load(path).inputFiles()]
-    listed = spark.createDataFrame(names, "part STRING")
-    name = decoded(F.substring_index("part", "/", -1)) if source == "file" else _folder_name(F.col("part"))
+    # The names stay in the JVM, however many there are.
+    functions = spark._jvm.org.apache.spark.sql.functions
+    names = functions.lit(index.format("binaryFile").load(path)._jdf.inputFiles())
+    listed = DataFrame(spark.range(1)._jdf.withColumn("part", functions.explode(names)), spark).select("part")
+    name = relative_name(F.col("part"), root_path(spark, path)) if source == "file" else _folder_name(F.col("part"))
     return listed.select(name.alias("source_file"), decoded(F.col("part")).alias("part"))
 
 

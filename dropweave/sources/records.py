@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dropweave.session import broadcast_if_small, stage
 from dropweave.sources.lines import without_cr
 
-MAX_RECORD_LINES = 100_000
+MAX_RECORD_BYTES = 2**31 - 64  # what one row can hold
 # Splits are taken in runs of a million lines, because a gzip or zip file is a single split.
 RUN_BITS = 20
 
@@ -34,14 +34,15 @@ def _state(start: Column, flips: Column, fixed: Column) -> Column:
         fixed["state"].bitwiseXOR((flips - fixed["flips"]) % 2))
 
 
-def assemble_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> DataFrame:
+def assemble_records(lines: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
     """Lines (scanned with ``keep_cr``) to records ``(source_file, line_no, value)``.
 
     ``line_no`` is that of the record's first line.  A file is not worked on by one task: what
     a run of lines does to the quote state is worked out for both states it could start in,
     the runs of a file are then chained, and each run picks its case.  Only records of
-    several lines are shuffled.  A record of more than ``max_lines`` lines (a quote nobody
-    closed) cannot be a row; its lines are kept, one by one.
+    several lines are shuffled.  A closed record is one row at any length.  If a quote is still open
+    at the end of a file, the lines from the record's first on are kept one by one, however few or
+    many they are.  A closed record too large for a row is an error that names its place.
     """
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     by_split = Window.partitionBy("part", "block", "run").orderBy("pos")
@@ -87,27 +88,34 @@ def assemble_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> Dat
         .withColumn("last_start", F.expr("IF(inside = 1, last1, last0)"))
         .withColumn("carried", F.last(
             F.expr("last_start + shift"), ignorenulls=True).over(part_before)))
-    offsets = broadcast_if_small(stage(
-        chained.select("part", "block", "run", "shift", "inside", "carried"), "splits"))
+    chained = stage(chained, "splits")
+    offsets = broadcast_if_small(chained.select("part", "block", "run", "shift", "inside", "carried"))
+    # The record that is open when its file ends, at most one of a file.
+    opened = broadcast_if_small(stage(
+        chained.groupBy("part").agg(F.max_by(
+            F.struct(F.expr("IF(inside = 1, g1, g0)").alias("open"),
+                     F.coalesce(F.expr("last_start + shift"), F.col("carried")).alias("record_no")),
+            F.struct("block", "run")).alias("end"))
+        .filter("end.open = 1").select("part", F.col("end.record_no").alias("record_no")), "open-records"))
 
     placed = marked.join(offsets, ["part", "block", "run"]).select(
-        "source_file", "value", (F.col("pos") + F.col("shift")).alias("line_no"),
+        "source_file", "part", "value", (F.col("pos") + F.col("shift")).alias("line_no"),
         F.expr("IF(inside = 1, s1, s0) = 0 AND IF(inside = 1, e1, e0) = 0").alias("alone"),
         F.coalesce(F.expr("IF(inside = 1, start1, start0) + shift"), F.col("carried")).alias("record_no"))
     strip = without_cr(F.col("value")).alias("value")
     alone = placed.filter("alone").select("source_file", "line_no", strip)
     several = placed.filter("NOT alone")
 
-    oversize = stage(
-        several.groupBy("source_file", "record_no").count().filter(F.col("count") > max_lines), "oversize")
-    if oversize.isEmpty():
-        loose = alone
-    else:
-        key = ["source_file", "record_no"]
-        loose = alone.union(several.join(oversize, key, "left_semi").select("source_file", "line_no", strip))
-        several = several.join(oversize, key, "left_anti")
-    joined = several.groupBy("source_file", "record_no").agg(
+    unclosed = several.join(opened, ["part", "record_no"], "left_semi").select("source_file", "line_no", strip)
+    several = several.join(opened, ["part", "record_no"], "left_anti")
+    key = ["source_file", "record_no"]
+    too_large = several.groupBy(*key).agg(F.sum(F.octet_length("value") + 1).alias("bytes")).filter(
+        F.col("bytes") > max_bytes).first()
+    if too_large:
+        raise ValueError(f"the record at line {too_large.record_no} of {too_large.source_file} has {too_large.bytes} bytes, "
+                         f"more than a row can hold ({max_bytes})")
+    joined = several.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("lines")).select(
         "source_file", F.col("record_no").alias("line_no"),
         without_cr(F.array_join("lines.value", "\n")).alias("value"))
-    return loose.union(joined)
+    return alone.union(unclosed).union(joined)

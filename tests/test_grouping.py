@@ -113,7 +113,7 @@ def test_nested_groups_cut_large_ones_without_loss(drop, monkeypatch, broadcast_
     monkeypatch.setattr(grouping, "BROADCAST_ROWS", broadcast_rows)
     lines = drop([row(21, 1), row(21, 2)] + [row(24, 1, f"t{n}") for n in range(25)] + [row(24, 2, "u")]
                  + [row(24, 9) for _ in range(25)])
-    whole = {r.key: r for r in grouping.nest_by_key(lines, "21", ("24",)).collect()}
+    whole = {r.key: r for r in grouping.nest_by_key(lines, "21", ("24",), max_rows=100).collect()}
     assert (len(whole[1].parents), len(whole[1].type_24), whole[1].segment) == (1, 25, 0)
     rows = grouping.nest_by_key(lines, "21", ("24",), max_rows=10).orderBy("key", "segment").collect()
     assert [(r.key, r.segment, len(r.parents) + len(r.type_24)) for r in rows] == [(1, 0, 10), (1, 1, 10), (1, 2, 6), (2, 0, 2)]

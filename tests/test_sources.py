@@ -45,7 +45,7 @@ def test_plain_gzip_and_zip_give_the_same_records(spark, small, tmp_path):
         assert values(lines) == expected, kind
         assert [r.n_lines for r in lines.select("source_file", "n_lines").distinct().orderBy("source_file").collect()] == [6, 2]
     listed = jobs.list_drop(spark, str(tmp_path / "zip")).collect()
-    assert sorted(r.source_file for r in listed) == ["a.csv", "b.csv"]
+    assert sorted(r.source_file for r in listed) == ["both.zip!folder/a.csv", "both.zip!folder/b.csv"]
 
 
 def test_zip_is_read_in_batches(spark, tmp_path, monkeypatch):
@@ -138,7 +138,7 @@ def test_manifest_forgets_removed_files_and_counts_only_new_ones(spark, tmp_path
     with zipfile.ZipFile(folder / "more.zip", "w") as z:
         z.writestr("d.csv", "\n".join(DROP[1:4]))
     got = {(r.source_file, r.record_type, r.n) for r in jobs.count_all(spark, str(folder), path).collect()}
-    assert {g for g in got if g[0] == "d.csv"} == {("d.csv", "21", 1), ("d.csv", "24", 2)}
+    assert {g for g in got if g[0] == "more.zip!d.csv"} == {("more.zip!d.csv", "21", 1), ("more.zip!d.csv", "24", 2)}
     assert len(got) == 5
 
 
@@ -191,12 +191,45 @@ def test_records_of_an_unsplittable_file_are_worked_on_in_runs(spark, tmp_path,
     assert got == python_records(text)
 
 
-def test_record_nobody_closed_keeps_its_lines(spark, tmp_path):
-    lines = ["24,ok", '24,"open'] + [f"24,{n}" for n in range(30)]
+@pytest.mark.parametrize("length", [1, 20, 3000])
+def test_record_nobody_closed_keeps_its_lines(spark, tmp_path, length):
+    lines = ["24,ok", '24,"open'] + [f"24,{n}" for n in range(length)]
     write(tmp_path / "d", "f.csv", lines)
+    write(tmp_path / "d", "g.csv", ["24,next"])  # the open quote ends with its file
     scan = read_lines(spark, str(tmp_path / "d"), keep_cr=True)
-    assert values(assemble_records(scan, max_lines=10)) == lines
-    assert len(values(assemble_records(scan))) == 2
+    assert values(assemble_records(scan)) == lines + ["24,next"]
+
+
+@pytest.mark.parametrize("length", [1, 20, 3000])
+def test_closed_record_is_one_row_at_any_length(spark, tmp_path, length):
+    record = ['24,"open'] + [f"24,{n}" for n in range(length)] + ['end"']
+    write(tmp_path / "d", "f.csv", ["24,ok", *record, "24,after"])
+    scan = read_lines(spark, str(tmp_path / "d"), keep_cr=True)
+    assert values(assemble_records(scan)) == ["24,ok", "\n".join(record), "24,after"]
+    with pytest.raises(ValueError, match="line 1 of f.csv"):
+        assemble_records(scan, max_bytes=10)
+
+
+def test_files_of_equal_names_are_different_drops(spark, small, tmp_path):
+    root, path = tmp_path / "d", str(tmp_path / "manifest")
+    root.mkdir()
+    write(root / "one", "x.csv", DROP)
+    jobs.count_all(spark, str(root), path)
+    write(root / "two", "x.csv", DROP[1:3])
+    for name in ("p", "q"):
+        with zipfile.ZipFile(root / f"{name}.zip", "w") as z:
+            z.writestr("in/x.csv", "\n".join(DROP[1:4]))
+            z.writestr("readme.txt", "24 hours\n32 bits")
+    got = jobs.count_all(spark, str(root), path).collect()
+    sizes = {}
+    for r in got:
+        sizes[r.source_file] = sizes.get(r.source_file, 0) + r.n
+    assert sizes == {"one/x.csv": 6, "two/x.csv": 2, "p.zip!in/x.csv": 3, "q.zip!in/x.csv": 3}
+    lines = jobs.prepare(spark, str(root), small)
+    assert {(r.source_file, r.n_lines) for r in lines.collect()} == set(sizes.items())
+    assert filters.positional_trim(lines).count() == 3  # only one/x.csv has more than three lines
+    from dropweave.sources.archives import other_members
+    assert {r.member for r in other_members(spark, str(root)).collect()} == {"readme.txt"}
 
 
 def test_control_lines_by_type_and_by_position(drop):

@@ -88,15 +88,17 @@ def test_empty_null_and_blanks_through_sink_and_scan(spark, drop, small, tmp_pat
 
 def test_landed_scan_opens_only_the_wanted_types(drop):
     plan = filters.with_type(drop(*FILES), "24")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(family" in plan
-    assert "(family" in plan and "= 24)" in plan
+    assert "PartitionFilters: [" in plan and "IN (24,other)" in plan.replace("family", "", 1)
 
 
 def test_names(spark):
     one = spark.range(1).select(
         csvtext.part_name(F.lit(7)), csvtext.part_name(F.lit(123456)), csvtext.split_name(F.lit("x.csv"), F.lit("24")),
+        *(csvtext.split_name(F.lit(n), F.lit("24")) for n in ("x.gz", "a/y.csv.gz", "z", "p.zip!in/y.CSV")),
+        csvtext.base_name(F.lit("p.zip!in/y.csv")), csvtext.base_name(F.lit("a/y.csv")), csvtext.base_name(F.lit("y.csv")),
         csvtext.drop_suffix(F.lit("x.csv.yml")), csvtext.file_stem(F.lit("a/b/c.csv"))).first()
-    assert tuple(one) == ("part-0007.csv", "part-123456.csv", "x_r24.csv", "x.csv", "c.csv")
+    assert tuple(one) == ("part-0007.csv", "part-123456.csv", "x_r24.csv", "x_r24", "a/y_r24.csv", "z_r24", "p.zip!in/y_r24.CSV",
+                          "y.csv", "y.csv", "y.csv", "x.csv", "c.csv")
 
 
 def test_field_without_parsing_the_line(spark):
@@ -158,3 +160,31 @@ def test_command_line_with_the_standard_types(spark, tmp_path):
     assert text(spark, base + "/bad/Records_LPI") == []
     with pytest.raises(SystemExit):
         main(["merge", "--output", base + "/none"])
+
+
+def test_every_line_has_a_home(spark, drop, small, tmp_path):
+    """Outputs and rejects together are the input; each line left out has one reason."""
+    text = ["10,head", row(21, 1), row(24, 1), row(24, 9), '24,"I",1,bad,x', row(15, 1), "2X,odd", "", row(23, 1), "99,end"]
+    lines = drop(text)
+    jobs.group_uprn(lines, str(tmp_path / "g"), small, rejects=str(tmp_path / "gr"))
+    reasons = {(r.reason, r.value) for r in spark.read.parquet(str(tmp_path / "gr")).collect()}
+    grouped = spark.read.text(str(tmp_path / "g")).collect()
+    assert {r.value for r in grouped} == {row(21, 1), row(24, 1)}
+    assert reasons == {("control", "10,head"), ("control", "99,end"), ("orphan", row(24, 9)), ("bad_key", '24,"I",1,bad,x'),
+                       ("not_requested", row(15, 1)), ("unknown_type", "2X,odd"), ("unknown_type", ""), ("unknown_type", row(23, 1))}
+    for step in (jobs.split_all, jobs.merge_all):
+        out, bad = (str(tmp_path / f"{step.__name__}-{kind}") for kind in ("o", "r"))
+        step(lines, out, small, ("24",), rejects=bad)
+        kept, left = spark.read.text(out).count(), spark.read.parquet(bad).groupBy("reason").count().collect()
+        assert kept + sum(r["count"] for r in left) == len(text)
+        assert {r.reason: r["count"] for r in left} == {"control": 2, "not_requested": 2, "unknown_type": 3}
+
+
+def test_sort_keeps_rows_that_do_not_fit(spark, drop, small, tmp_path):
+    lines = drop(['24,"I",bad,9,c', row(24, 3)])
+    jobs.sort_records(lines, str(tmp_path / "o"), small, ("24",))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "o" / "*")).collect()) == ["24,I,,9,c", "24,I,1,3,"]
+
+
+def test_undeclared_type_is_found(drop):
+    assert [r.value for r in filters.with_type(drop(["23,x", row(24, 1)]), "23").collect()] == ["23,x"]

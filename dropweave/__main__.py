@@ -29,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
         if name != "count":
             p.add_argument("--landed", help="landed table: written when --input is given, else read")
             p.add_argument("--schema", help="YAML file of record types; the standard ones if left out")
-            p.add_argument("--compact", action="store_true", help="land evenly sized files, at the price of a shuffle")
+            p.add_argument("--no-compact", dest="compact", action="store_false", help="land one file per split and type, without the shuffle that evens them out")
             p.add_argument("--scan-mode", choices=("line", "record"), default="line")
             p.add_argument("--mode", choices=("errorifexists", "overwrite", "ignore"), default="errorifexists")
         return p

@@ -150,6 +150,15 @@ def lookup(rows: DataFrame, key: int) -> DataFrame:
     return rows.filter(F.col("key") == key)
 
 
+def lookup_colocated(rows: DataFrame, offsets: DataFrame, rows_per_bucket: int, key: int) -> DataFrame:
+    """Rows of one key of a table written by ``colocate``: opens the directory of its bucket only, sorted by key inside.
+
+    ``offsets`` are the ``key_offsets`` the buckets were made from.
+    """
+    found = lookup(offsets, key).select(F.expr(f"first_index div {int(rows_per_bucket)}").alias("bucket")).first()
+    return lookup(rows.filter(F.col("bucket") == (found.bucket if found else -1)), key)
+
+
 def lookup_many(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose key is in ``keys``; broadcast only if the distinct keys turn out small."""
     wanted = stage(keys.select("key").filter(F.col("key").isNotNull()).distinct(), "keys")

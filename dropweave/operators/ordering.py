@@ -114,13 +114,13 @@ def with_bucket(rows: DataFrame, offsets: DataFrame, size: int, key: str = "key"
     return rows.join(buckets, key)
 
 
-def colocate(rows: DataFrame, rows_per_bucket: int, key: str = "key") -> DataFrame:
+def colocate(rows: DataFrame, rows_per_bucket: int, key: str = "key", offsets: DataFrame | None = None) -> DataFrame:
     """Rows in key order with a ``bucket``; all rows of a key are in one bucket.
 
     Written with ``partitionBy("bucket")`` this gives one directory per key range.  A very
     frequent key makes its bucket large but not its tasks: they are cut on the line order.
-    Rows without a key are left out.
+    Rows without a key are left out.  ``offsets`` are the rows' ``key_offsets``, if they are known.
     """
-    bucketed = with_bucket(rows, key_offsets(rows, key), rows_per_bucket, key, "bucket")
+    bucketed = with_bucket(rows, offsets or key_offsets(rows, key), rows_per_bucket, key, "bucket")
     order = ["bucket", key, *LINE_ORDER]
     return bucketed.repartitionByRange(*order).sortWithinPartitions(*order)

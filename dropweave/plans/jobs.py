@@ -40,11 +40,11 @@ def scan_drop(spark: SparkSession, path: str, source: str = "file", glob: str =
 
 def prepare(spark: SparkSession, path: str, registry: Registry, landed: str | None = None,
             scan_mode: str = "line", source: str = "file", glob: str = TEXT_FILES,
-            compact: bool = False) -> DataFrame:
+            compact: bool = True) -> DataFrame:
     """Land a drop and number its lines: the input of all later steps.
 
     ``scan_mode`` is ``line`` (every line is a record) or ``record`` (line ends inside
-    quotes do not count).
+    quotes do not count).  ``compact`` evens out the landed files; without it every split writes one per type.
     """
     if scan_mode not in ("line", "record"):
         raise ValueError(f"scan_mode must be 'line' or 'record', not {scan_mode!r}")

@@ -160,6 +160,8 @@ FROM {_UPRN} GROUP BY k"""),
     "q_lookup_key": _drop(f"""
 SELECT record_type, k AS key, s AS serial FROM lines
 WHERE record_type IN ('21', '24', '28') AND k = {LOOKUP_KEY}"""),
+    "q_lookup_colocated": _drop(f"""
+SELECT record_type, k AS key, s AS serial FROM lines WHERE record_type IN ('24', '28') AND k = {LOOKUP_KEY}"""),
     "q_lookup_batch": """
 SELECT o_custkey AS key, o_orderkey AS serial FROM orders
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",

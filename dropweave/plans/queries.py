@@ -333,6 +333,14 @@ def lookup_key(spark, sf_dir):
     return grouping.lookup(lines, LOOKUP_KEY).select("record_type", "key", _serial())
 
 
+def lookup_colocated(spark, sf_dir):
+    rows = filters.keep_types(sample_lines(spark, sf_dir), ("24", "28"))
+    path, offsets = staging_path(spark, "buckets"), ordering.key_offsets(rows)
+    sinks.write_colocated(ordering.colocate(rows, ROWS_PER_BUCKET, offsets=offsets), path)
+    return grouping.lookup_colocated(spark.read.parquet(path), offsets, ROWS_PER_BUCKET, LOOKUP_KEY).select(
+        "record_type", "key", _serial())
+
+
 def lookup_batch(spark, sf_dir):
     keys = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("key"))
     orders = filters.with_type(landed_lines(spark, sf_dir), "24")
@@ -372,6 +380,6 @@ ALL: dict[str, Query] = {
         split, merge_type, merge_all, header_sink, null_sink,
         sort_uprn, sort_usrn, sort_multi, colocated, global_index,
         group_uprn, group_usrn, group_usrn_first, group_gapped, group_uprn_chunks, group_usrn_chunks, part_names,
-        group_uprn_nested, lookup_key, lookup_batch, orphans, rejects,
+        group_uprn_nested, lookup_key, lookup_colocated, lookup_batch, orphans, rejects,
         open_quotes, same_names, accounted, group_uprn_segments)
 }

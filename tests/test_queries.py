@@ -39,3 +39,8 @@ def test_no_window_over_everything():
 
 def test_flagship_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_lookup_opens_one_bucket(spark):
+    plan = OWN["q_lookup_colocated"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "PushedFilters: [IsNotNull(key), EqualTo(key," in plan

@@ -19,7 +19,8 @@ Verification sends a hub document and its partners to a task in portions of ``PO
 Texts are fetched by id: the ids are broadcast up to ``BROADCAST_IDS`` after they were counted, and joined beyond.
 
 Null and empty texts, and texts without words, have size 0, link with nothing and are their own component.  Rows with a null id
-have a null component and link with nothing.  Rows that share an id count as one node per text.
+have a null component and link with nothing.  Rows that share an id are nodes of their own, one for each text; two texts that have
+the same smallest id share their links.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ MERGED = 256
 LIST, TILE, COLUMNS = 64, 256, 4096
 PORTION = 256
 BROADCAST_IDS = 2_000_000
-SETS = "doc_id long, text_key long, n long, d1 long, d2 long, g long, prefix array<long>"
+SETS = "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>"
 
 
 def shingles(texts: list[bytes], size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -132,11 +133,10 @@ def sets(docs: DataFrame, id_column: str, text: str, size: int, percent: int) ->
                 digest[1, full] = np.add.reduceat(mixed(hashes ^ np.uint64(0x5A5A5A)), begin[full])
                 digest[2, full] = mixed(np.add.reduceat(mixed(prefix ^ np.uint64(0xC3C3)), ends[:-1][full])
                                         + mixed(counts[full].astype(np.uint64)))
-            key = [zlib.crc32(t) for t in coded]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(key, pa.int64()), pa.array(counts, pa.int64()), *(pa.array(d.view(np.int64)) for d in digest),
+                batch.column(0), pa.array(counts, pa.int64()), *(pa.array(d.view(np.int64)) for d in digest),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(prefix.view(np.int64)))],
-                ["doc_id", "text_key", "n", "d1", "d2", "g", "prefix"])
+                ["doc_id", "n", "d1", "d2", "g", "prefix"])
 
     return stage(source.mapInArrow(run, SETS), "shingle-sets")
 
@@ -153,7 +153,7 @@ def verify(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, size: i
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = stage(texts.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "pair-texts")
+    texts = stage(texts.join(ids, "id", "left_semi").distinct(), "pair-texts")
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PORTION).cast("int").alias("portions"))
     hubs = sizes.join(texts.withColumnRenamed("id", "a"), "a").select(
         "a", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(None).cast("long").alias("b"), "text")
@@ -163,7 +163,7 @@ def verify(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, size: i
     sent = hubs.union(partners).repartition("a", "portion").sortWithinPartitions("a", "portion", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, hub = None, np.zeros(0, np.uint64)
+        key, hubs = None, []  # sets of the hub: more than one if several texts have its id
         for batch in text_chunks(batches, "text"):
             hashes, counts = shingles(_coded(batch, "text"), size)
             ends = np.cumsum(counts)
@@ -171,14 +171,17 @@ def verify(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, size: i
             for a, portion, b, end, n in zip(*(batch.column(i).to_pylist() for i in range(3)), ends.tolist(), counts.tolist()):
                 own = hashes[end - n:end]
                 if b is None:
-                    key, hub = (a, portion), own
+                    hubs = [*hubs, own] if key == (a, portion) else [own]
+                    key = a, portion
                     continue
                 assert key == (a, portion)
-                at = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
-                both = int((hub[at] == own).sum())
-                if 100 * both >= percent * (len(hub) + n - both):
-                    out[0].append(a)
-                    out[1].append(b)
+                for hub in hubs:
+                    at = np.minimum(np.searchsorted(hub, own), len(hub) - 1) if len(hub) else own[:0].astype(np.int64)
+                    both = int((hub[at] == own).sum()) if len(hub) else 0
+                    if both and 100 * both >= percent * (len(hub) + n - both):
+                        out[0].append(a)
+                        out[1].append(b)
+                        break
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
 
     return sent.mapInArrow(run, "a long, b long")

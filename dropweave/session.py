@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_PARTITIONS = 100_000
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 * 1024 * 1024  # of compressed files
 
 _local_roots: dict[str, str] = {}
 
@@ -81,13 +82,19 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a staged table for broadcast when its row count is within the bound.
+def file_bytes(staged: DataFrame) -> int:
+    """Size of a staged table's files, as Catalyst knows it."""
+    return int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The count comes from the file footers.  Beyond the bound the join is left to Catalyst,
+
+def broadcast_if_small(staged: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a staged table for broadcast when its rows and the bytes of its files are within the bounds.
+
+    The count comes from the file footers.  Beyond the bounds the join is left to Catalyst,
     which then shuffles.
     """
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+    small = file_bytes(staged) <= max_bytes and staged.count() <= max_rows
+    return F.broadcast(staged) if small else staged
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -13,17 +13,29 @@ from pyspark.sql import types as T
 from dropweave.llm._common import id_crc, text_chunks
 
 
+HASHES = 1 << 40
+
+
+def share(wanted: int, there: int) -> int:
+    """Hash values below this hold about ``wanted`` of ``there`` rows."""
+    return HASHES if there <= wanted else HASHES * wanted // there
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, per_class: int,
                     sample_bytes: int) -> tuple[list[str], np.ndarray]:
     """Texts and labels for training: of either class the ``per_class`` rows with the smallest hash of their id that are
     labelled, not held out and of at most ``sample_bytes`` of text, so what reaches the driver is bounded."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("_label"))
-    known = known.orderBy(F.xxhash64("doc_id"))
-    wanted = known.filter("_label = 1").limit(4 * per_class).union(known.filter("_label = 0").limit(4 * per_class))
+    sizes = {r._label: r["count"] for r in known.groupBy("_label").count().collect() if r._label in (0, 1)}  # a row per class
+    # A share of the hash values that holds about twice the wanted rows goes first, so the sort sees no more than these.
+    wanted = [known.filter((F.col("_label") == y) & (place < share(8 * per_class, sizes.get(y, 0)))).orderBy(place, "doc_id").limit(
+        4 * per_class) for y in (1, 0)]
+    wanted = wanted[0].union(wanted[1])
     rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes)).join(
         F.broadcast(wanted), "doc_id")  # at most 8 * per_class pairs of numbers
-    picked = [rows.filter(F.col("_label") == y).orderBy(F.xxhash64("doc_id"), "text").limit(per_class) for y in (1, 0)]
+    picked = [rows.filter(F.col("_label") == y).orderBy(place, "doc_id", "text").limit(per_class) for y in (1, 0)]
     found = picked[0].union(picked[1]).select("text", "_label").toArrow()
     return found.column(0).to_pylist(), np.asarray(found.column(1)).astype(np.float64)
 

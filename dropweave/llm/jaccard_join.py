@@ -153,12 +153,14 @@ def verify(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, size: i
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = stage(texts.join(ids, "id", "left_semi").distinct(), "pair-texts")
+    # Grouped by id and not staged: both joins below take the rows as they lie.
+    texts = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.collect_set("text").alias("texts"))
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PORTION).cast("int").alias("portions"))
     hubs = sizes.join(texts.withColumnRenamed("id", "a"), "a").select(
-        "a", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(None).cast("long").alias("b"), "text")
+        "a", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(None).cast("long").alias("b"), "texts").select(
+        "a", "portion", "b", F.explode("texts").alias("text"))
     partners = pairs.join(sizes, "a").join(texts.withColumnRenamed("id", "b"), "b").select(
-        "a", F.pmod(F.xxhash64("b"), F.col("portions").cast("long")).cast("int").alias("portion"), "b", "text")
+        "a", F.pmod(F.xxhash64("b"), F.col("portions").cast("long")).cast("int").alias("portion"), "b", F.explode("texts").alias("text"))
     # Portions are small against a partition; the hub comes first in its portion.
     sent = hubs.union(partners).repartition("a", "portion").sortWithinPartitions("a", "portion", F.col("b").asc_nulls_first())
 
@@ -203,7 +205,10 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size:
         a, b = (groups.select(F.col("g").alias(f"g_{s}"), F.col("n").alias(f"n_{s}"), F.col("leader").alias(f"leader_{s}")) for s in "ab")
         return pairs.join(a, "g_a").join(b, "g_b").filter(_sizes_fit(percent))
 
-    stars = sized(held.filter("g <> pivot").select(F.col("pivot").alias("g_a"), F.col("g").alias("g_b")).distinct())
+    # Pairs that share few shingles of one pivot are left to the last step, which counts all they share.
+    stars = sized(held.filter("g <> pivot").groupBy(F.col("pivot").alias("g_a"), F.col("g").alias("g_b")).agg(
+        F.count(F.lit(1)).alias("shared"))).filter(F.col("shared") * 2 >= least_shared(
+            percent, F.col("n_a"), F.col("n_b"), F.greatest, lambda x: F.ceil(x)))
     member = classes.select(F.col("g").alias("g_m"), F.col("rep").alias("m"))
     several = classes.join(groups.filter("members > 1").select("g", "leader"), "g").filter("rep <> leader")
     # The pivot's leader with every member of the other group, the other leader with the pivot's members, leader with own members.

@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 from dropweave.llm._common import text_chunks
 
 MARK = "▁"
-KEPT_WORDS = 600_000
+KEPT_WORDS = 150_000
 SHORT = (2, 1)
-KEPT_FITS = 1_000_000
+KEPT_FITS = 300_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:

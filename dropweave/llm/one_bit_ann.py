@@ -27,7 +27,7 @@ from dropweave.session import stage
 
 BITS_PER_AXIS = 4
 ERROR_WIDTH = 3.5
-ROWS = 2048
+ROWS = 3072
 QUERIES = 4096
 STEP = 512
 
@@ -70,30 +70,36 @@ class Coder:
             own = np.abs(turned).sum(1) / (length * np.sqrt(self.bits))
         return np.packbits(turned > 0, axis=1), length, np.where(length > 0, own, 1.0)
 
-    def bounds(self, queries: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray,
-               width: float) -> tuple[np.ndarray, np.ndarray]:
-        """Estimates and upper bounds of the inner products: a row per query, a column per code."""
+    def sides(self, queries: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray, width: float,
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Two matrices and what to add to a row of their product: with the last column the product is the upper bound of
+        the inner products (a row per query, a column per code), without it their estimate."""
         signs = np.unpackbits(codes, axis=1).astype(np.float32)
         signs *= 2
         signs -= 1
-        turned = (queries @ self.rotation.T).astype(np.float32)
         norm = np.linalg.norm(queries, axis=1)
-        estimate = turned @ signs.T
-        estimate *= (length / (own * np.sqrt(self.bits))).astype(np.float32)
-        estimate += (queries @ self.centre).astype(np.float32)[:, None]
-        error = length * np.sqrt(np.maximum(1 / own**2 - 1, 0)) * width / np.sqrt(self.bits - 1)
-        upper = estimate + norm[:, None].astype(np.float32) * error.astype(np.float32)
-        upper += (1e-4 * norm * (np.linalg.norm(self.centre) + 1)).astype(np.float32)[:, None]  # float32 rounding
-        upper += (1e-4 * norm.max(initial=0) * length).astype(np.float32)
-        upper[~np.isfinite(upper)] = np.inf
-        return estimate, upper
-
-
-def exact(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of paired rows, one axis after the other, so equal vectors get equal scores."""
-    total = np.zeros(len(queries))
-    for axis in range(queries.shape[1]):
-        total += queries[:, axis] * vectors[:, axis]
+        scale = length / (own * np.sqrt(self.bits))
+        error = length * np.sqrt(np.maximum(1 / own**2 - 1, 0)) * width / np.sqrt(self.bits - 1) + 1e-4 * length  # the last: rounding
+        left = np.hstack([queries @ self.rotation.T, norm[:, None]]).astype(np.float32)
+        right = np.hstack([signs * scale[:, None], error[:, None]]).astype(np.float32)
+        slack = 1e-4 * norm * (np.linalg.norm(self.centre) + 1)
+        return left, right, queries @ self.centre + slack
+
+    def bounds(self, queries: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray,
+               width: float) -> tuple[np.ndarray, np.ndarray]:
+        """Estimates and upper bounds of the inner products."""
+        left, right, rest = self.sides(queries, codes, length, own, width)
+        return left[:, :-1] @ right[:, :-1].T + rest[:, None], left @ right.T + rest[:, None]
+
+
+def exact(queries: np.ndarray, vectors: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Inner products of pairs, one axis after the other, so equal vectors get equal scores.
+
+    Both tables hold an axis in a row, so that the values of an axis stay in the cache.
+    """
+    total = np.zeros(len(row))
+    for a, b in zip(queries, vectors):
+        total += a[row] * b[column]
     return total
 
 
@@ -110,26 +116,34 @@ def search_tile(coder: Coder, query_ids: np.ndarray, queries: np.ndarray, ids: n
     """``(query place, vec_id, score)`` of each query's k best rows of a tile."""
     q, found, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     reach = np.full(len(queries), -np.inf)
+    by_axis = np.ascontiguousarray(queries.T)
     for begin in range(0, len(ids), STEP):
         part = slice(begin, begin + STEP)
-        estimate, upper = coder.bounds(queries, codes[part], length[part], own[part], width)
-        same = query_ids[:, None] == ids[part][None, :]
-        upper[same] = -np.inf
-        if begin == 0 and estimate.shape[1] > k + 1:
-            # A first k-th best: score the k + 1 best estimates of the first rows (one may be the query's own).
-            estimate[same] = -np.inf
+        here, axes = ids[part], np.ascontiguousarray(vectors[part].T)
+        place = np.minimum(np.searchsorted(here, query_ids), len(here) - 1)  # ids ascend
+        own_row = np.flatnonzero(here[place] == query_ids)
+        with np.errstate(invalid="ignore", over="ignore"):
+            left, right, rest = coder.sides(queries, codes[part], length[part], own[part], width)
+            upper = left @ right.T
+        upper[own_row, place[own_row]] = -np.inf
+        if begin == 0 and len(here) > k + 1:
+            # A first k-th best: score the rows with the k best estimates among the first rows.
+            estimate = left[:, :-1] @ right[:, :-1].T
+            estimate[own_row, place[own_row]] = -np.inf
             top = np.argpartition(-estimate, k, axis=1)[:, :k]
-            scores = np.stack([exact(queries, vectors[part][top[:, j]]) for j in range(k)], 1)
-            scores[np.take_along_axis(same, top, 1)] = -np.inf
+            scores = exact(by_axis, axes, np.repeat(np.arange(len(queries)), k), top.ravel()).reshape(-1, k)
+            scores[top == np.where(here[place] == query_ids, place, -1)[:, None]] = -np.inf
             reach = scores.min(1)
-        wanted = upper >= reach.astype(np.float32)[:, None] - np.float32(1e-6) * np.abs(reach, where=np.isfinite(reach), out=np.zeros_like(reach)).astype(np.float32)[:, None]
-        wanted &= ~same
+        # What is not a number cannot be ruled out; reach loses what rounding to single precision may add.
+        limit = (reach - rest - 1e-6 * np.abs(np.where(np.isfinite(reach), reach, 0))).astype(np.float32)
+        wanted = ~(upper < limit[:, None])
+        wanted[own_row, place[own_row]] = False
         row, column = np.nonzero(wanted)
-        scores = np.concatenate([exact(queries[row[i:i + 65536]], vectors[part][column[i:i + 65536]])
+        scores = np.concatenate([exact(by_axis, axes, row[i:i + 65536], column[i:i + 65536])
                                  for i in range(0, len(row), 65536)] or [np.zeros(0)])
         passing = scores >= reach[row]
         q = np.concatenate([q, row[passing]])
-        found = np.concatenate([found, ids[part][column[passing]]])
+        found = np.concatenate([found, here[column[passing]]])
         score = np.concatenate([score, scores[passing]])
         kept = best(q, found, score, k)
         q, found, score = q[kept], found[kept], score[kept]

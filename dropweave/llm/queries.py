@@ -49,8 +49,7 @@ def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sentencepiece_codec.Pieces.load(vocabulary())
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece_codec.round_trip(docs, pieces).select("doc_id", "n_tokens", "ids", "round_trip")
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), pieces, keep=["doc_id"])
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ from dropweave.llm._common import text_chunks
 MARK = "▁"
 KEPT_WORDS = 150_000
 SHORT = (2, 1)
+DECODED_ROWS = 500
+ROUND_BYTES = 2 * 1024 * 1024
 KEPT_FITS = 300_000
 
 
@@ -300,6 +302,29 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text", output: str = "i
     return docs.mapInArrow(run, schema)
 
 
+class Decoder:
+    """Surfaces of all pieces in one array."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.known, self.unknown = len(pieces.surface), pieces.unknown
+        self.flat = np.frombuffer(b"".join(pieces.surface), np.uint8)
+        self.begin = np.concatenate([[0], np.cumsum([len(s) for s in pieces.surface])])
+        self.skip = 1 if pieces.dummy_prefix else 0
+
+    def texts(self, code: np.ndarray, begin: np.ndarray) -> Iterator[str]:
+        """The texts of runs of ids; what is no id is left out."""
+        known = (code >= 0) & (code < self.known)
+        bytes_, sizes = ranges(self.flat, self.begin, np.where(known, code, self.unknown))
+        if not known.all():
+            bytes_ = bytes_[np.repeat(known, sizes)]
+            sizes = np.where(known, sizes, 0)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[begin].tolist()
+        data = bytes_.tobytes()
+        for low, high in zip(ends, ends[1:]):
+            piece = data[low:high]
+            yield (piece[self.skip:] if piece[:1] == b" " else piece).decode("utf-8", "replace")
+
+
 def decode(docs: DataFrame, pieces: Pieces, ids: str = "ids", output: str = "decoded") -> DataFrame:
     """``docs`` with ``output``, the text of ``ids``: null for null.  Null ids and ids the model lacks are left out."""
     docs = docs.drop(output)
@@ -307,35 +332,44 @@ def decode(docs: DataFrame, pieces: Pieces, ids: str = "ids", output: str = "dec
     schema = T.StructType([*docs.schema.fields, T.StructField(output, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surface = sent.value.surface
-        flat = np.frombuffer(b"".join(surface), np.uint8)
-        begin = np.concatenate([[0], np.cumsum([len(s) for s in surface])])
-        skip = 1 if sent.value.dummy_prefix else 0
+        decoder = Decoder(sent.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, DECODED_ROWS):
+                batch = whole.slice(at, DECODED_ROWS)
                 lists = batch.column(ids)
                 counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0)).astype(np.int64)
                 code = np.asarray(pa.compute.fill_null(lists.flatten(), -1)).astype(np.int64)
-                known = (code >= 0) & (code < len(surface))
-                bytes_, sizes = ranges(flat, begin, np.where(known, code, sent.value.unknown))
-                if not known.all():
-                    bytes_ = bytes_[np.repeat(known, sizes)]
-                    sizes = np.where(known, sizes, 0)
-                ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
-                data = bytes_.tobytes()
-                texts = []
-                for null, low, high in zip(lists.is_null().to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
-                    piece = data[low:high]
-                    texts.append(None if null else (piece[skip:] if piece[:1] == b" " else piece).decode("utf-8", "replace"))
+                texts = decoder.texts(code, np.concatenate([[0], np.cumsum(counts)]))
+                texts = [None if null else t for null, t in zip(lists.is_null().to_pylist(), texts)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                                  [*batch.schema.names, output])
 
     return docs.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, pieces: Pieces, text: str = "text") -> DataFrame:
-    """Ids, their number and whether decoding gives the text back (a mark in the text itself reads as a space)."""
-    coded = decode(encode(docs, pieces, text), pieces)
-    return coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn(
-        "round_trip", F.col("decoded") == F.replace(F.col(text), F.lit(MARK), F.lit(" ")))
+def round_trip(docs: DataFrame, pieces: Pieces, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (all) with ``ids``, their number ``n_tokens``, and in ``round_trip`` whether decoding gives the text back (a
+    mark in the text itself reads as a space).  Null for a null text.  Columns of these names are replaced.
+
+    Ids are decoded where they are made, so texts pass through Python once.
+    """
+    new = ("ids", "n_tokens", "round_trip")
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    rows = docs.select(F.col(text).alias("_text_to_encode"), *kept)
+    sent = docs.sparkSession.sparkContext.broadcast(pieces)
+    schema = T.StructType([*rows.schema.fields[1:], T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = sent.value.codec = sent.value.codec or Codec(sent.value)
+        decoder = Decoder(sent.value)
+        for batch in text_chunks(batches, "_text_to_encode", ROUND_BYTES):
+            texts = batch.column(0).to_pylist()
+            ids, begin = codec.encode(texts)
+            same = [None if t is None else t.replace(MARK, " ") == d for t, d in zip(texts, decoder.texts(ids, begin))]
+            nulls = pa.array([t is None for t in texts])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids, pa.int32()), mask=nulls),
+                 pa.array(np.diff(begin), pa.int64(), mask=np.asarray(nulls)), pa.array(same, pa.bool_())], schema.names)
+
+    return rows.mapInArrow(run, schema)

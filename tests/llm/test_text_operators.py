@@ -55,7 +55,7 @@ def library():
 
 def test_ids_and_texts_equal_the_library(spark, pieces, library):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").withColumn("ids", F.lit("clash"))
-    got = sentencepiece_codec.round_trip(docs, pieces).collect()
+    got = sentencepiece_codec.decode(sentencepiece_codec.round_trip(docs, pieces), pieces).collect()
     assert len(got) == 200
     for r in got:
         assert r.ids == library.encode(r.text) and r.decoded == r.text and r.round_trip and r.n_tokens == len(r.ids)
@@ -66,10 +66,11 @@ def test_odd_texts(spark, pieces, library):
              " " * 3000, None, "a", "a"]
     texts += ["".join(draw.choice("ab the▁ \n日é😀<>0x41") for _ in range(draw.randrange(30))) for _ in range(300)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    for r in sentencepiece_codec.round_trip(df, pieces).collect():
+    assert sorted(r.doc_id for r in sentencepiece_codec.encode(df, pieces).collect()) == list(range(len(texts)))
+    for r in sentencepiece_codec.decode(sentencepiece_codec.round_trip(df, pieces), pieces).collect():
         t = texts[r.doc_id]
         if t is None:
-            assert r.ids is None and r.decoded is None
+            assert r.ids is None and r.decoded is None and r.n_tokens is None and r.round_trip is None
         else:
             assert r.ids == library.encode(t), repr(t)
             assert r.decoded == library.decode(r.ids) == t.replace("▁", " ") and r.round_trip

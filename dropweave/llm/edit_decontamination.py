@@ -10,7 +10,7 @@ a thousand times costs a pass over that stretch.
 Items are sent to the tasks in blocks of at most ``ITEMS`` items and ``ITEM_BYTES`` bytes; a longer list means more passes
 over the documents.  Documents are never shuffled.
 
-An item that is null or blank is left out.  A text that is null or empty matches nothing.  Items of equal text match alike.
+An item whose text is null or blank is left out; one without an id is searched like any other.  A text that is null or empty matches nothing.  Items of equal text match alike.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from dropweave.llm._common import text_chunks
 CHARS_PER_EDIT = 20
 ITEMS = 20_000
 ITEM_BYTES = 16 * 1024 * 1024
-MATCHES = "doc_id long, item_id long, distance int, start long, end long"
+MATCHES = "doc_id long, copy long, item_id long, distance int, start long, end long"
 
 
 def normal(text: str | None) -> str:
@@ -137,17 +137,14 @@ def blocks(items: DataFrame, item_id: str, text: str, most: int = ITEMS, most_by
     return max(1, -(-size.n // most), -(-size.bytes // most_bytes))
 
 
-def matches(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text", item_id: str = "item_id",
-            item_text: str = "text", chars_per_edit: int = CHARS_PER_EDIT, most: int = ITEMS) -> DataFrame:
-    """``(doc_id, item_id, distance, start, end)``: each item found in each row of ``docs``, at its best place.
-
-    Places count characters of the compared text.  Repeated rows give repeated matches.
-    """
+def _found(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text", item_id: str = "item_id",
+           item_text: str = "text", chars_per_edit: int = CHARS_PER_EDIT, most: int = ITEMS) -> DataFrame:
+    """``matches`` with ``copy``, which tells texts with one id apart."""
     spark = docs.sparkSession
-    items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter(
-        "item_id IS NOT NULL AND text IS NOT NULL")
+    items = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("text IS NOT NULL")
     count = blocks(items, "item_id", "text", most)
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("text IS NOT NULL")
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), F.col(text).alias("text")).filter(
+        "text IS NOT NULL")
     if count > 1:  # twice as many hash blocks as an even split needs, so that none is over the bound
         items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * count)))
 
@@ -158,12 +155,12 @@ def matches(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text:
             held = None
             for batch in text_chunks(batches, "text"):
                 held = held or Items(sent.value, chars_per_edit)
-                rows = [(doc, *m) for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                rows = [(doc, copy, *m) for doc, copy, t in zip(*(batch.column(n).to_pylist() for n in range(3)))
                         for m in (held.matches(normal(t)) if held.items else ())]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int32() if n == 2 else pa.int64()) for n, c in enumerate(zip(*rows))],
-                        ["doc_id", "item_id", "distance", "start", "end"])
+                        [pa.array(c, pa.int32() if n == 3 else pa.int64()) for n, c in enumerate(zip(*rows))],
+                        ["doc_id", "copy", "item_id", "distance", "start", "end"])
 
         return source.mapInArrow(run, MATCHES)
 
@@ -173,7 +170,15 @@ def matches(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text:
     return reduce(DataFrame.union, (found_by(part) for part in parts))
 
 
+def matches(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``(doc_id, item_id, distance, start, end)``: each item found in each row of ``docs``, at its best place.
+
+    Places count characters of the compared text.  Repeated rows give repeated matches.
+    """
+    return _found(docs, items, id_column, text, **settings).drop("copy")
+
+
 def clean(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, null ids and texts included.  Equal ids share their fate."""
-    hit = matches(docs, items, id_column, text, **settings).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs[id_column].cast("long") == hit["_hit"], "left_anti")
+    """The rows of ``docs`` in which no item is found, null texts included.  Only rows of equal id and text share their fate."""
+    hit = _found(docs, items, id_column, text, **settings).select(F.col("doc_id").alias("_hit"), F.col("copy").alias("_copy")).distinct()
+    return docs.join(hit, docs[id_column].cast("long").eqNullSafe(hit["_hit"]) & (F.xxhash64(docs[text]) == hit["_copy"]), "left_anti")

@@ -312,6 +312,27 @@ def docs_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """One row of ``docs`` for each component: that with the smallest id.  Rows with a null id, and texts without words, stay."""
-    gone = linked(docs, id_column, text, **settings).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_column].cast("long") == gone["_gone"], "left_anti")
+    """One row of ``docs`` for each component: that with the smallest id, and of texts that share it that with the smallest hash.
+
+    Rows are told apart by id and text, so texts that share an id have links and fates of their own.  Of rows with equal ids and
+    texts that with the smallest hash of all columns stays.  Rows with a null id, and texts without words, all stay.
+    """
+    own = F.col(id_column).cast("long")
+    node = F.when(own.isNotNull(), F.xxhash64(own, text))
+    found = linked(docs.select(node.alias("_node"), F.col(text).alias("text")), "_node", "text", **settings)
+    # One row for each id and text, with the number of rows that have them.
+    parts = stage(found.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id", "component_id").agg(
+        F.count(F.lit(1)).alias("rows")), "members")
+    ids = docs.select(own.alias("_id"), node.alias("_node")).filter("_id IS NOT NULL").distinct()
+    members = stage(parts.join(ids, parts["doc_id"] == ids["_node"]).select("_id", "_node", "component_id", "rows"), "member-ids")
+    best = members.groupBy("component_id").agg(F.min(F.struct("_id", "_node")).alias("best"))
+    gone = members.join(best, "component_id").filter(F.struct("_id", "_node") != F.col("best")).select("_id", "_node")
+    kept = docs.join(gone, (own == gone["_id"]) & (node == gone["_node"]), "left_anti")
+    again = stage(members.filter("rows > 1").select("_id", "_node"), "repeated-members")
+    if again.isEmpty():
+        return kept
+    repeated = (own == again["_id"]) & (node == again["_node"])
+    whole = F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind))
+    one = kept.join(again, repeated, "left_semi").groupBy(own.alias("_id"), node.alias("_node")).agg(
+        F.min_by(F.struct(*docs.columns), whole).alias("_row")).select("_row.*")
+    return kept.join(again, repeated, "left_anti").union(one)

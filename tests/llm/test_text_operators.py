@@ -246,6 +246,15 @@ def test_join_of_odd_rows(spark):
     assert jaccard_join.linked(df.limit(0)).count() == 0
 
 
+def test_representatives_of_clashing_ids(spark):
+    rows = [(1, "a b c d e f", "p"), (2, "a b c d e f", "p"), (2, "q r s t u v", "p"), (2, " ", "p"), (2, None, "p"), (7, "k l m n o", "p"), (7, "k l m n o", "q"),
+            (7, "K l m n o", "p"), (8, "k l m n o", "p"), (9, "", "p"), (9, "", "p"), (None, "q r s t u v", "p"), (None, "q r s t u v", "p")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(((r.doc_id, (r.text or "-").lower()) for r in jaccard_join.representatives(df).collect()), key=str)
+    assert got == sorted([(1, "a b c d e f"), (2, "q r s t u v"), (2, " "), (2, "-"), (7, "k l m n o"), (9, "-"), (9, "-"),
+                          (None, "q r s t u v"), (None, "q r s t u v")], key=str)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -293,6 +302,16 @@ def test_matches_equal_brute_force(spark):
     assert decon.matches(df, frame.limit(0)).count() == 0 and decon.matches(df.limit(0), frame).count() == 0
 
 
+@pytest.mark.parametrize("most", [100, 1])
+def test_decontamination_of_clashing_and_null_ids(spark, most):
+    items = [(None, "an item without an id"), (1, "an item with its own id")]
+    rows = [(1, "has An item without an id."), (1, "clean"), (None, "has an item with its own id"), (None, "clean too"), (None, None), (2, None), (2, "clean")]
+    df, frame = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decon.matches(df, frame, most=most).collect()} == {(1, None), (None, 1)}
+    got = [(r.doc_id, r.text) for r in decon.clean(df, frame, most=most).collect()]
+    assert sorted(got, key=str) == sorted([r for r in rows if "item" not in (r[1] or "")], key=str)
+
+
 def test_many_hits_of_a_common_piece(spark):
     item = "lorem ipsum dolor sit amet " * 8
     docs = spark.createDataFrame([(1, "lorem ipsum dolor " * 20_000), (2, "x" * 300_000 + item)], "doc_id long, text string")

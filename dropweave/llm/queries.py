@@ -53,7 +53,7 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_edit_join.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_edit_join.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=None)
 
 
 def jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:

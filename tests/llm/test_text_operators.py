@@ -150,6 +150,29 @@ def test_line_dedup_equals_brute_force(spark, edits, min_chars):
     assert (got[120].n_lines, got[120].n_dropped) == (0, 0)
 
 
+def test_line_dedup_budget_follows_the_length(spark):
+    rows = []
+    for size in (39, 40, 55, 60, 79, 100, 130, 200, 377, 700, 1300):
+        base = "".join(draw.choice("abcdefgh ") for _ in range(size))
+        k = max(2, size // 20)
+        rows += [base, edited(base, k), base[7:] + base[:7], edited(base, k - 1), edited(base, k + 2), edited(base, 2 * k), "ab" * (size // 2) + str(size)]
+    rows += [r[:-1] + "cd" for r in rows if r.startswith("ababab")]
+    draw.shuffle(rows)
+    want = set()
+    for i, line in enumerate(rows):
+        for before in rows[:i]:
+            short = min(len(line), len(before))
+            if line == before or short >= 40 and abs(len(line) - len(before)) <= max(2, short // 20) and distance(line, before) <= max(2, short // 20):
+                want.add(i)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    plan = line_edit_join.dedup(df, edits=None)
+    assert {r.doc_id for r in plan.collect() if r.n_dropped} == want
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+    long_ = "y" * 5000 + "".join(map(str, range(3000)))
+    got = line_edit_join.dedup(spark.createDataFrame([(1, long_), (2, long_[:-500]), (3, long_[:-9000])], "doc_id long, text string"), edits=None)
+    assert {r.doc_id for r in got.collect() if r.n_dropped} == {2}
+
+
 def test_line_dedup_of_odd_rows(spark):
     long_ = "y" * 5000 + "".join(map(str, range(3000)))
     rows = [(None, "same line"), (1, "same line\nother"), (1, "same line\nother"), (1, "third\nother"), (2, long_ + "\n" + long_[:-1]), (3, "same line")]

@@ -76,4 +76,28 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY h, doc_id, size, text_crc32) - 1 AS slot, grown_shard FROM f
 """
 
-ALL = {"op1_one_bit_neighbours": OP1, "op3_warc": OP3, "op6_jaccard_join": OP6, "op7_hash_tree": OP7}
+# Counts per group, dense shares over all kept terms of a language, integers throughout.
+OP12 = r"""
+WITH d AS (SELECT coalesce(lang, '') lang, coalesce(source, '') source, row_number() OVER () r,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') ts FROM documents),
+t AS (SELECT lang, source, r, unnest(ts) term FROM d),
+k AS (SELECT lang, term, count(*) n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, count(*) v, sum(n) total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) total,
+             l.v, k.n lang_n, l.total lang_total
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n::HUGEINT + 5)) // (total + 5 * v) p,
+             1 + (1000000000 * (lang_n::HUGEINT + 5)) // (lang_total + 5 * v) q FROM s),
+pairs AS (SELECT a.lang, a.source, 'pair' part, b.source item, coalesce(f, 0) "value"
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source s1, y.source s2, sum(abs(x.p - y.p)) f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) z
+            ON z.lang = a.lang AND z.s1 = a.source AND z.s2 = b.source),
+parts AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY "value" DESC, item) n FROM parts)
+SELECT lang, source, part, item, "value"::BIGINT AS "value", n::INTEGER AS "rank" FROM ranked WHERE part = 'pair' OR n <= 50
+"""
+
+ALL = {"op1_one_bit_neighbours": OP1, "op3_warc": OP3, "op6_jaccard_join": OP6, "op7_hash_tree": OP7, "op12_source_divergence": OP12}

@@ -9,8 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropweave.llm import (edit_decontamination, hash_tree, jaccard_join, line_edit_join, one_bit_ann, passage_attention, sentencepiece_codec, toxicity_gru,
-                           url_trees, warc)
+from dropweave.llm import (edit_decontamination, hash_tree, jaccard_join, line_edit_join, one_bit_ann, passage_attention, sentencepiece_codec, source_divergence,
+                           toxicity_gru, url_trees, warc)
 from dropweave.llm._common import id_crc, table
 from dropweave.llm._learning import judged, labelled_sample, scored
 
@@ -85,6 +85,10 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 ALL = {
     "op1_one_bit_neighbours": one_bit_neighbours,
     "op2_passage_quality": passage_quality,
@@ -96,4 +100,5 @@ ALL = {
     "op8_url_trees": url_verdicts,
     "op9_toxicity_gru": toxicity,
     "op10_edit_decontamination": decontamination,
+    "op12_source_divergence": divergence,
 }

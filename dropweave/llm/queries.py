@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropweave.llm import (edit_decontamination, hash_tree, jaccard_join, line_edit_join, one_bit_ann, passage_attention, sentencepiece_codec, source_divergence,
-                           toxicity_gru, url_trees, warc)
+                           token_alignment, toxicity_gru, url_trees, warc)
 from dropweave.llm._common import id_crc, table
 from dropweave.llm._learning import judged, labelled_sample, scored
 
@@ -89,6 +89,11 @@ def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = token_alignment.Tokenizers.load(vocabulary("byte_bpe_50k.json"), vocabulary())
+    return token_alignment.align(table(spark, sf_dir, "documents"), both)
+
+
 ALL = {
     "op1_one_bit_neighbours": one_bit_neighbours,
     "op2_passage_quality": passage_quality,
@@ -101,4 +106,5 @@ ALL = {
     "op9_toxicity_gru": toxicity,
     "op10_edit_decontamination": decontamination,
     "op12_source_divergence": divergence,
+    "op13_token_alignment": alignment,
 }

@@ -9,10 +9,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropweave.llm import (edit_decontamination, hash_tree, jaccard_join, line_edit_join, one_bit_ann, passage_attention, sentencepiece_codec, source_divergence,
+from dropweave.llm import (chat_windows, edit_decontamination, hash_tree, jaccard_join, line_edit_join, one_bit_ann, passage_attention, sentencepiece_codec, source_divergence,
                            token_alignment, toxicity_gru, url_trees, warc)
 from dropweave.llm._common import id_crc, table
 from dropweave.llm._learning import judged, labelled_sample, scored
+from dropweave.session import stage
 
 TREE = hash_tree.Tree.regular(regions=5, racks=2, shards=4)
 RULES = [url_trees.Rule.of(verdict, text) for verdict, text in (
@@ -85,6 +86,14 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], given.schema)
+    found = chat_windows.windows(given.union(added), Path(vocabulary("byte_bpe_50k.json")).read_bytes())
+    return chat_windows.digests(stage(found, "windows"))
+
+
 def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -105,6 +114,7 @@ ALL = {
     "op8_url_trees": url_verdicts,
     "op9_toxicity_gru": toxicity,
     "op10_edit_decontamination": decontamination,
+    "op11_chat_windows": chat,
     "op12_source_divergence": divergence,
     "op13_token_alignment": alignment,
 }

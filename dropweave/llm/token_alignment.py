@@ -25,7 +25,6 @@ null or repeated id; equal texts count once each.
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -39,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dropweave.llm._byte_bpe import byte_level
 from dropweave.llm._common import text_chunks
 from dropweave.session import staging_path
 
@@ -47,19 +47,10 @@ ARITY = 16
 KEPT_WORDS = 200_000
 BROADCAST_PAIRS = 4_000_000
 MARK = "▁"
-# Fixed value: what a byte-level vocabulary's pre-tokenizer takes as a word.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A space between characters that are no white space.
 BORDER = re.compile(r" (?<=\S )(?=\S)")
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else the next one from U+0100 on."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in seen]
-    return {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Tokenizers:
     """Both tokenizers from the bytes of their files, built once in each process.
 
@@ -83,15 +74,7 @@ class Tokenizers:
         """Both encoders, and the bytes of every id of either."""
         if self._built is None:
             import sentencepiece
-            import tiktoken
-            model, letters = json.loads(self.vocabulary)["model"], byte_letters()
-            bytes_a = [b""] * (max(model["vocab"].values()) + 1)
-            for word, rank in model["vocab"].items():
-                bytes_a[rank] = bytes(map(letters.__getitem__, word))
-            merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
-            if merged != list(range(256, 256 + len(merged))):
-                raise ValueError("ids of the vocabulary do not follow its merges")
-            a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={w: i for i, w in enumerate(bytes_a)}, special_tokens={})
+            a, bytes_a = byte_level(self.vocabulary)
             b = sentencepiece.SentencePieceProcessor(model_proto=self.model)
             bytes_b = []
             for i in range(b.vocab_size()):

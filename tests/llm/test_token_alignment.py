@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from dropweave.llm import token_alignment as own
+from dropweave.llm._byte_bpe import byte_letters
 from dropweave.llm.queries import vocabulary
 
 FILES = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
@@ -27,7 +28,7 @@ def encoders():
     a = Tokenizer.from_file(FILES[0])
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=FILES[1])
-    letters = own.byte_letters()
+    letters = byte_letters()
     bytes_a = {i: bytes(map(letters.__getitem__, a.id_to_token(i))) for i in range(50_256)}
     bytes_b = [bytes([int(b.id_to_piece(i)[1:-1], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.vocab_size())]
     return a, b, bytes_a, bytes_b

@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_crc(column: str | Column) -> Column:
     """crc32 of an id written as text; a null id counts as empty text."""
-    return F.crc32(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string"))
+    return F.crc32(F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit("")))
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

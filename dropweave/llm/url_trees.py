@@ -52,13 +52,17 @@ class Rule:
         return cls(verdict, host, f"/{path}")
 
 
+def _after_scheme(url: Column) -> Column:
+    """What follows the first ``://``; empty if there is none."""
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://(.*)$", 1)
+
+
 def host_of(url: Column) -> Column:
-    rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
-    return F.translate(F.coalesce(rest, F.lit("")), UPPER, LOWER)
+    return F.translate(F.regexp_extract(_after_scheme(url), r"^[^/?#]*", 0), UPPER, LOWER)
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.regexp_extract(_after_scheme(url), r"^[^/?#]*(/[^?#]*)", 1)
 
 
 def ruled(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:

@@ -127,7 +127,8 @@ def rule(host, path):
 def test_hosts_paths_and_rules(spark):
     urls = [None, "", "x", "http://", "http://A.NET", "http://a.net/", "HTTPS://Example.NET/en/1?x=/de/", "http://example.com/de/#a",
             "http://notexample.com/de/", "ftp://É.Org/fr/x", "http://a.org?/fr/", "http://a://b/c", "http://x.net\n/y", "a b://c.net/d e",
-            "http://" + "a" * 50_000 + ".net/" + "é" * 50_000]
+            "http://a.com?u=http://b.net/x", "http://a.com#x://y.net/en/z", "http://a.net?u=http://b.org/x", "://a.net/://b.org/fr/x",
+            "http://a.net\n?/x", "http://a.net/\r\n?x", "http://" + "a" * 50_000 + ".net/" + "é" * 50_000]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string").withColumn("score", F.lit("clash"))
     got = {r.page_id: r for r in url_trees.judge(df, RULES).collect()}
     assert len(got) == len(urls)

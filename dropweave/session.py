@@ -56,6 +56,16 @@ def size_shuffles(spark: SparkSession, input_bytes: int, most: int = MAX_PARTITI
     return wanted
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Make later scans cut files as they would be cut now.
+
+    The size of splits follows the number of cores unless ``spark.sql.files.minPartitionNum`` is set, and cores come and go
+    while a job runs.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(max(1, spark.sparkContext.defaultParallelism)))
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dropweave.functions import csvtext
 from dropweave.functions.registry import Registry
 from dropweave.operators.filters import why_left_out
+from dropweave.operators.keyjoin import join_by_key
 from dropweave.operators.ordering import key_offsets, place_in_group, with_bucket
 from dropweave.session import BROADCAST_ROWS, stage
 
@@ -53,8 +54,8 @@ def parent_keys(lines: DataFrame, parent: str) -> DataFrame:
     """The distinct parent keys, staged.
 
     Deduplicated map-side first, so a frequent key arrives as one row.  Being a table of
-    their own, they are broadcast only if their files are small, and otherwise they leave
-    adaptive execution free to split the other side of the join where a key is frequent.
+    their own, they are broadcast only if their files are small; otherwise ``join_by_key`` deals
+    the rows of frequent keys over several tasks.
     """
     return stage(_ranked(lines, (parent,)).select("key").distinct(), "keys")
 
@@ -67,7 +68,7 @@ def group_by_key(lines: DataFrame, parent: str, children: tuple[str, ...],
     ``GROUP_ORDER``.
     """
     rows = envelope(lines, parent, children, limit_per_key)
-    return rows.join(parent_keys(lines, parent), "key", "left_semi")
+    return join_by_key(rows, parent_keys(lines, parent), "left_semi")
 
 
 def group_in_chunks(lines: DataFrame, parent: str, children: tuple[str, ...], parents_per_chunk: int,
@@ -82,7 +83,7 @@ def group_in_chunks(lines: DataFrame, parent: str, children: tuple[str, ...], pa
 
 def orphans(lines: DataFrame, parent: str, children: tuple[str, ...]) -> DataFrame:
     """Child lines with a key no parent has."""
-    return _ranked(lines, children, 1).join(parent_keys(lines, parent), "key", "left_anti")
+    return join_by_key(_ranked(lines, children, 1), parent_keys(lines, parent), "left_anti")
 
 
 def rejects(lines: DataFrame, registry: Registry, parent: str, children: tuple[str, ...]) -> DataFrame:
@@ -99,13 +100,13 @@ def rejects(lines: DataFrame, registry: Registry, parent: str, children: tuple[s
         # Not expanded into columns: a declared field may be called like one of ours.
         parsed = csvtext.parse_line(F.col("value"), registry[record_id])
         corrupt = F.when(of_type == record_id, parsed[csvtext.CORRUPT].isNotNull()).otherwise(corrupt)
-    keys = parent_keys(lines, parent).withColumn("has_parent", F.lit(True))
     reasons = F.array_compact(F.array(
         why_left_out(of_type, registry.ids, ids),
         F.when(of_type.isin(list(ids)) & no_key, F.lit("bad_key")),
         F.when(of_type.isin(list(children)) & ~no_key & F.col("has_parent").isNull(), F.lit("orphan")),
         F.when(of_type.isin(list(ids)) & ~no_key & corrupt, F.lit("corrupt"))))
-    return lines.join(keys, "key", "left").select(
+    keys = stage(_ranked(lines, (parent,)).select("key").distinct().withColumn("has_parent", F.lit(True)), "keys")
+    return join_by_key(lines, keys, "left").select(
         F.explode(reasons).alias("reason"), "source_file", "line_no", "record_type", "value")
 
 
@@ -162,4 +163,4 @@ def lookup_colocated(rows: DataFrame, offsets: DataFrame, rows_per_bucket: int,
 def lookup_many(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose key is in ``keys``; broadcast only if the distinct keys turn out small."""
     wanted = stage(keys.select("key").filter(F.col("key").isNotNull()).distinct(), "keys")
-    return rows.join(wanted, "key", "left_semi")
+    return join_by_key(rows, wanted, "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dropweave.functions.registry import RecordType
 from dropweave.operators.filters import with_type
+from dropweave.operators.keyjoin import join_by_key
 from dropweave.session import stage
 from dropweave.sources.typed import parse_type
 
@@ -111,7 +112,7 @@ def with_bucket(rows: DataFrame, offsets: DataFrame, size: int, key: str = "key"
     if size < 1:
         raise ValueError("bucket size must be at least 1")
     buckets = offsets.select(key, F.expr(f"first_index div {int(size)}").alias(name))
-    return rows.join(buckets, key)
+    return join_by_key(rows, buckets, key=key)
 
 
 def colocate(rows: DataFrame, rows_per_bucket: int, key: str = "key", offsets: DataFrame | None = None) -> DataFrame:

@@ -3,7 +3,7 @@ from conftest import ordered, row
 from pyspark.sql import functions as F
 
 from dropweave import sinks
-from dropweave.operators import grouping, ordering
+from dropweave.operators import grouping, keyjoin, ordering
 from dropweave.plans import jobs
 
 
@@ -121,24 +121,36 @@ def test_nested_groups_cut_large_ones_without_loss(drop, monkeypatch, broadcast_
     assert texts == [f"t{n}" for n in range(25)]
 
 
-def test_hot_key_is_split_over_tasks(spark, drop, monkeypatch):
-    """A child key with most of the rows: the join is cut by adaptive execution, and stays right."""
+@pytest.mark.parametrize("compact", [True, False])
+def test_hot_key_is_split_over_tasks(spark, small, tmp_path, monkeypatch, compact):
+    """A child key with most of the rows, in one landed file or in many: no task of the join has much more than the rows of a salt."""
+    monkeypatch.setattr(keyjoin, "HOT_ROWS", 500)
     text = "x" * 200
-    lines = drop([row(21, k) for k in range(200)] + [row(24, 7, text) for _ in range(6000)],
-                 [row(24, k, text) for k in range(400)] + [row(24, 7, text) for _ in range(6000)])
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
-                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB"}
+    files = ([row(21, k) for k in range(200)] + [row(24, 7, text) for _ in range(6000)],
+             [row(24, k, text) for k in range(400)] + [row(24, "", text) for _ in range(3000)] + [row(24, 7, text) for _ in range(6000)])
+    (tmp_path / "drop").mkdir()
+    for number, held in enumerate(files):
+        (tmp_path / "drop" / f"f{number}.csv").write_text("".join(line + "\n" for line in held))
+    lines = jobs.prepare(spark, str(tmp_path / "drop"), small, compact=compact)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}
     before = {k: spark.conf.get(k) for k in settings}
+
+    def per_task(df):
+        counted = df.select("key", "value").groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+        return [r.n for r in counted.collect()]
+
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        for grouped in (grouping.group_by_key(lines, "21", ("24",)), grouping.group_in_chunks(lines, "21", ("24",), 10)):
-            assert len(grouped.select("key", "value").collect()) == 200 + 12000 + 200
-            plan = grouped.select("key", "value")
-            plan.collect()
-            assert "skew=true" in plan._jdf.queryExecution().executedPlan().toString()
+        for grouped in (grouping.group_by_key(lines, "21", ("24",)), grouping.group_in_chunks(lines, "21", ("24",), 10),
+                        grouping.lookup_many(lines, lines.filter("record_type = '21'"))):
+            tasks = per_task(grouped)
+            assert sum(tasks) == 200 + 12000 + 200
+            assert max(tasks) < 4 * 500 and len(tasks) > 12  # several salts may share a task; the key alone has 12,000 rows
+        lost = grouping.rejects(lines, small, "21", ("24",))
+        assert {r.reason: r.n for r in lost.groupBy("reason").agg(F.count("*").alias("n")).collect()} == {"orphan": 200, "bad_key": 3000}
+        assert grouping.orphans(lines, "21", ("24",)).count() == 200
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

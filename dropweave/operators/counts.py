@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,3 +74,8 @@ def data_types_per_file(manifest_rows: DataFrame) -> DataFrame:
 def files_for_type(manifest_rows: DataFrame, record_id: str) -> DataFrame:
     """Files worth opening for a type: ``(source_file, n)``."""
     return manifest_rows.filter((F.col("record_type") == record_id) & (F.col("n") > 0)).select("source_file", "n")
+
+
+def files_for_types(manifest_rows: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Names of the files that hold a line of any of these types: ``(source_file)``."""
+    return manifest_rows.filter(F.col("record_type").isin(list(ids)) & (F.col("n") > 0)).select("source_file").distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dropweave.functions import csvtext
@@ -11,7 +11,9 @@ from dropweave.operators.filters import why_left_out
 from dropweave.operators.keyjoin import join_by_key
 from dropweave.operators.ordering import key_offsets, place_in_group, with_bucket
 from dropweave.session import BROADCAST_ROWS, stage
+from dropweave.sinks import ZONES
 
+ZONE_FILES = 1000
 GROUP_ORDER = ("key", "type_rank", "source_file", "line_no")
 _COLUMNS = ("key", "type_rank", "source_file", "line_no", "record_type", "value")
 
@@ -160,6 +162,20 @@ def lookup_colocated(rows: DataFrame, offsets: DataFrame, rows_per_bucket: int,
     return lookup(rows.filter(F.col("bucket") == (found.bucket if found else -1)), key)
 
 
+def lookup_stored(spark: SparkSession, path: str, key: int) -> DataFrame:
+    """Rows of one key of a table that ``write_colocated`` left under a path, found by its stored zones.
+
+    Opens the files of one bucket whose keys span the key (all files of the bucket if there are more than ``ZONE_FILES``).
+    """
+    zones = spark.read.parquet(f"{path}/{ZONES}").filter(F.lit(key).between(F.col("first_key"), F.col("last_key")))
+    found = zones.select("bucket", "file").limit(ZONE_FILES + 1).collect()
+    rows = spark.read.parquet(path)
+    rows = rows.filter(F.col("bucket").isin(sorted({r.bucket for r in found})))  # none: no file is opened
+    if found and len(found) <= ZONE_FILES:
+        rows = rows.filter(F.col("_metadata.file_name").isin([r.file for r in found]))
+    return lookup(rows, key)
+
+
 def lookup_many(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose key is in ``keys``; broadcast only if the distinct keys turn out small."""
     wanted = stage(keys.select("key").filter(F.col("key").isNotNull()).distinct(), "keys")

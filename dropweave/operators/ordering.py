@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dropweave.functions import csvtext
 from dropweave.functions.registry import RecordType
-from dropweave.operators.filters import with_type
+from dropweave.operators.filters import keep_types, with_type
 from dropweave.operators.keyjoin import join_by_key
 from dropweave.session import stage
 from dropweave.sources.typed import parse_type
@@ -43,6 +46,44 @@ def sort_types(lines: DataFrame, record_types: list[RecordType], field: str = "U
     return {t.id: global_sort(lines, t, field, keep=keep) for t in record_types}
 
 
+def _shown(record_type: RecordType, field: str) -> Callable[[Column], Column]:
+    """From a parsed line to the field it is sorted by, its text, and whether it fits."""
+    def columns(parsed: Column) -> Column:
+        text = F.to_csv(F.struct(*(parsed[n].alias(n) for n in record_type.field_names)), csvtext.WRITE_OPTIONS)
+        return F.struct(parsed[field].alias("order"), text.alias("text"), parsed[csvtext.CORRUPT].isNotNull().alias("corrupt"))
+    return columns
+
+
+def sort_together(lines: DataFrame, record_types: list[RecordType], field: str = "UPRN") -> DataFrame:
+    """Lines of several types in one range partitioning: by type in the given order, then a field (NULL first), then line order.
+
+    ``(record_type, value, text, corrupt)``: the line as it is, its typed fields as CSV, and whether it does not fit.  Every line is
+    parsed once, by its own type.  One sample and one shuffle serve all types, and a type or key with most rows is cut over
+    partitions.  If the field is the key of all types, lines are sorted by the landed key and parsed afterwards.
+    """
+    missing = [t.id for t in record_types if field not in t.field_names]
+    if missing:
+        raise ValueError(f"field {field!r} is missing in record type(s) {', '.join(missing)}")
+    kinds = {t.schema[field].dataType.simpleString() for t in record_types}
+    if len(kinds) > 1:
+        raise ValueError(f"field {field!r} has different types: {', '.join(sorted(kinds))}")
+    of_type, rank, told = F.col("record_type"), F.lit(None).cast("int"), None
+    for place, kind in enumerate(record_types):
+        rank = F.when(of_type == kind.id, F.lit(place)).otherwise(rank)
+        # Bound by a lambda, so that the line is parsed once for all its columns.
+        parsed = F.get(F.transform(F.array(csvtext.parse_line(F.col("value"), kind)), _shown(kind, field)), 0)
+        told = F.when(of_type == kind.id, parsed) if told is None else told.when(of_type == kind.id, parsed)
+    rows = keep_types(lines, [t.id for t in record_types]).withColumn("_rank", rank)
+    by_key = "key" in lines.columns and all(t.key_field == field for t in record_types)
+    if not by_key:
+        rows = rows.select("*", F.inline(F.array(told)))
+    order = ["_rank", F.col("key" if by_key else "order").asc_nulls_first(), *LINE_ORDER]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    if by_key:
+        rows = rows.select("record_type", "value", F.inline(F.array(told)))
+    return rows.select("record_type", "value", "text", "corrupt")
+
+
 def _sorted_slots(rows: DataFrame, order: list) -> DataFrame:
     """Rows in range-partitioned order, staged with their slot: partition number and place in it."""
     return stage(

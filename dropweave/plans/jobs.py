@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dropweave import sinks
+from dropweave import sinks, versions
 from dropweave.functions.csvtext import CORRUPT
 from dropweave.functions.registry import (
     LOCATION_IDS, UPRN_CHILDREN, UPRN_CHUNK, UPRN_PARENT, USRN_CHILDREN, USRN_CHUNK, USRN_PARENT, Registry)
@@ -19,6 +18,8 @@ from dropweave.sources.lines import TEXT_FILES, land, list_files, number_lines,
 from dropweave.sources.records import assemble_records
 from dropweave.sources.typed import bad_rows, good_rows, parse_type
 
+MANIFEST = "source_file STRING, record_type STRING, n BIGINT"
+
 
 def list_drop(spark: SparkSession, path: str, source: str = "file", glob: str = TEXT_FILES) -> DataFrame:
     """``(source_file, part)`` of all text files and of all members of zip files."""
@@ -27,29 +28,27 @@ def list_drop(spark: SparkSession, path: str, source: str = "file", glob: str =
 
 def scan_drop(spark: SparkSession, path: str, source: str = "file", glob: str = TEXT_FILES,
               keep_cr: bool = False, only: DataFrame | None = None) -> DataFrame:
-    """Lines of plain, gzip and zip files together.  ``only`` is a part of ``list_drop``."""
-    if only is None:
-        return read_lines(spark, path, source, glob, keep_cr).unionByName(read_zip(spark, path, keep_cr))
-    # A reader takes a list of names (as many as files, not as lines), and would expand wildcards.
-    names = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row.part) for row in only.filter(~F.col("part").contains(".zip!")).select("part").collect()]
-    zipped = read_zip(spark, path, keep_cr, only)
-    if source != "file":
-        source = "directory"  # a list of part files says nothing of partition columns
-    return read_lines(spark, names, source, "*", keep_cr, root=path).unionByName(zipped) if names else zipped
+    """Lines of plain, gzip and zip files together.  ``only`` (``source_file``) names the drops to read; no other is opened."""
+    return read_lines(spark, path, source, glob, keep_cr, only).unionByName(read_zip(spark, path, keep_cr, only))
 
 
 def prepare(spark: SparkSession, path: str, registry: Registry, landed: str | None = None,
             scan_mode: str = "line", source: str = "file", glob: str = TEXT_FILES,
-            compact: bool = True) -> DataFrame:
+            compact: bool = True, manifest: str | None = None, types: Sequence[str] | None = None) -> DataFrame:
     """Land a drop and number its lines: the input of all later steps.
 
     ``scan_mode`` is ``line`` (every line is a record) or ``record`` (line ends inside
     quotes do not count).  ``compact`` evens out the landed files; without it every split writes one per type.
+    With ``manifest`` (what ``count_all`` keeps) and ``types``, only files that hold a line of these types are opened; line numbers are
+    those of the whole files.
     """
     if scan_mode not in ("line", "record"):
         raise ValueError(f"scan_mode must be 'line' or 'record', not {scan_mode!r}")
+    if (manifest is None) != (types is None):
+        raise ValueError("manifest and types go together")
+    only = None if manifest is None else counts.files_for_types(read_manifest(spark, manifest), types)
     size_shuffles(spark, input_bytes(spark, path))
-    lines = scan_drop(spark, path, source, glob, keep_cr=scan_mode == "record")
+    lines = scan_drop(spark, path, source, glob, scan_mode == "record", only)
     if scan_mode == "record":
         return land(assemble_records(lines), registry, landed, compact)
     return number_lines(land(lines, registry, landed, compact), with_total=True)
@@ -62,21 +61,26 @@ def reopen(spark: SparkSession, landed: str, scan_mode: str = "line") -> DataFra
     return table if scan_mode == "record" else number_lines(table, with_total=True)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete manifest under a path: ``(source_file, record_type, n)``, empty if there is none yet."""
+    current = versions.newest(spark, path)
+    return spark.read.schema(MANIFEST).parquet(current) if current else spark.createDataFrame([], MANIFEST)
+
+
 def count_all(spark: SparkSession, path: str, manifest_path: str, source: str = "file",
               glob: str = TEXT_FILES) -> DataFrame:
-    """Bring the manifest up to date; only files it does not have yet are read."""
+    """Bring the manifest up to date; only files it does not have yet are read.
+
+    The new manifest is a folder of its own, which counts from the moment it is whole: a job that fails leaves the old one in force.
+    """
     files = stage(list_drop(spark, path, source, glob), "files")
-    try:
-        old = spark.read.parquet(manifest_path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        old = spark.createDataFrame([], "source_file STRING, record_type STRING, n BIGINT")
+    old = read_manifest(spark, manifest_path)
     pending = stage(files.join(counts.pending_files(files, old), "source_file", "left_semi"), "pending")
-    new = counts.manifest(counts.count_records(scan_drop(spark, path, source, glob, only=pending)), pending)
-    # Staged first, because the old manifest is both read and replaced.
-    stage(counts.refresh_manifest(old, new, files), "manifest").write.mode("overwrite").parquet(manifest_path)
-    return spark.read.parquet(manifest_path)
+    # In a first count every file is pending, and nothing needs to be told apart.
+    only = None if pending.count() == files.count() else pending
+    new = counts.manifest(counts.count_records(scan_drop(spark, path, source, glob, only=only)), pending)
+    versions.write(counts.refresh_manifest(old, new, files), manifest_path)
+    return read_manifest(spark, manifest_path)
 
 
 def _data_lines(lines: DataFrame, ids: tuple[str, ...], trim: str) -> DataFrame:
@@ -115,14 +119,19 @@ def sort_records(lines: DataFrame, out: str, registry: Registry, ids: tuple[str,
     """One folder of sorted CSV files per type.
 
     Every line of a type is in its output: fields that do not fit are empty there.  With ``rejects``, lines that
-    do not fit go there instead, as they are.
+    do not fit go there instead, as they are.  All types share one sort and one write; with a header, or a field that is not of one
+    type everywhere, each type has its own.
     """
     types = [registry[i] for i in ids]
+    names = {t.id: f"{prefix}{t.name}" for t in types}
+    if not header and len({t.schema[field].dataType for t in types if field in t.field_names}) == 1:
+        sinks.write_sorted(ordering.sort_together(lines, types, field), out, names, rejects, mode)
+        return
     for record_id, typed in ordering.sort_types(lines, types, field).items():
-        sinks.write_table(good_rows(typed) if rejects else typed.drop(CORRUPT), f"{out}/{prefix}{registry[record_id].name}", header, mode)
+        sinks.write_table(good_rows(typed) if rejects else typed.drop(CORRUPT), f"{out}/{names[record_id]}", header, mode)
         if rejects:
             bad = bad_rows(parse_type(lines, registry[record_id]))
-            bad.select(CORRUPT).write.mode(mode).text(f"{rejects}/{prefix}{registry[record_id].name}")
+            bad.select(CORRUPT).write.mode(mode).text(f"{rejects}/{names[record_id]}")
 
 
 def _group(lines, out, registry, parent, children, size, limit_per_key, rejects, mode) -> None:

@@ -162,6 +162,27 @@ SELECT record_type, k AS key, s AS serial FROM lines
 WHERE record_type IN ('21', '24', '28') AND k = {LOOKUP_KEY}"""),
     "q_lookup_colocated": _drop(f"""
 SELECT record_type, k AS key, s AS serial FROM lines WHERE record_type IN ('24', '28') AND k = {LOOKUP_KEY}"""),
+    "q_lookup_stored": _drop(f"""
+SELECT record_type, k AS key, s AS serial FROM lines WHERE record_type IN ('24', '28') AND k = {LOOKUP_KEY}"""),
+    "q_zones": _drop(f"""
+SELECT bucket, min(k) AS first_key, max(k) AS last_key, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT k, n, CAST((sum(n) OVER (ORDER BY k) - n) // {ROWS_PER_BUCKET} AS BIGINT) AS bucket
+  FROM (SELECT k, count(*) AS n FROM lines WHERE record_type IN ('24', '28') GROUP BY k)) GROUP BY bucket"""),
+    "q_land_by_manifest": _drop("""
+SELECT source_file, line_no, record_type, k AS key FROM lines
+WHERE source_file IN (SELECT source_file FROM lines WHERE record_type = '15')"""),
+    "q_split_lines": _drop("""
+SELECT replace(source_file, '.csv', '_r' || record_type || '.csv') AS split_file,
+       row_number() OVER (PARTITION BY source_file, record_type ORDER BY line_no) - 1 AS line_no, record_type, k AS key, s AS serial
+FROM lines WHERE k IS NOT NULL"""),
+    "q_merged_lines": _drop("""
+, names AS (SELECT * FROM (VALUES
+    ('15', 'Records_StreetDescriptor.csv', 'RECORD_IDENTIFIER,CHANGE_TYPE,PRO_ORDER,USRN,NAME,BALANCE'),
+    ('24', 'Records_LPI.csv', 'RECORD_IDENTIFIER,CHANGE_TYPE,PRO_ORDER,UPRN,STATUS,PRIORITY,TOTAL,ENTRY_DATE')) AS v(t, name, header))
+SELECT name AS merged_file, CAST(0 AS BIGINT) AS line_no, CAST(NULL AS BIGINT) AS key, CAST(NULL AS BIGINT) AS serial, header
+FROM names WHERE t IN (SELECT record_type FROM lines)
+UNION ALL SELECT name, row_number() OVER (PARTITION BY name ORDER BY source_file, line_no), k, s, NULL
+FROM lines JOIN names ON t = record_type"""),
     "q_lookup_batch": """
 SELECT o_custkey AS key, o_orderkey AS serial FROM orders
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",

@@ -259,8 +259,10 @@ def sort_usrn(spark, sf_dir):
 
 
 def sort_multi(spark, sf_dir):
-    by_type = ordering.sort_types(sample_lines(spark, sf_dir), [SAMPLE["21"], SAMPLE["24"], SAMPLE["28"]])
-    return reduce(DataFrame.unionByName, [_sorted_rank(spark, good_rows(typed)) for typed in by_type.values()])
+    """Three types sorted and written as one job; the rank is the place in the type's folder."""
+    path = staging_path(spark, "sorted")
+    jobs.sort_records(sample_lines(spark, sf_dir), path, SAMPLE, ("21", "24", "28"))
+    return _read_back(spark, path).select(F.col("line_no").alias("rank"), "record_type", "key", _serial())
 
 
 def colocated(spark, sf_dir):
@@ -341,6 +343,47 @@ def lookup_colocated(spark, sf_dir):
         "record_type", "key", _serial())
 
 
+def lookup_stored(spark, sf_dir):
+    """A key of a co-located table, by nothing but its path."""
+    rows = filters.keep_types(sample_lines(spark, sf_dir), ("24", "28"))
+    path = staging_path(spark, "buckets")
+    sinks.write_colocated(ordering.colocate(rows, ROWS_PER_BUCKET), path)
+    return grouping.lookup_stored(spark, path, LOOKUP_KEY).select("record_type", "key", _serial())
+
+
+def zones(spark, sf_dir):
+    """The stored index of a co-located table, per bucket."""
+    rows = filters.keep_types(sample_lines(spark, sf_dir), ("24", "28"))
+    path = staging_path(spark, "buckets")
+    sinks.write_colocated(ordering.colocate(rows, ROWS_PER_BUCKET), path)
+    return spark.read.parquet(f"{path}/{sinks.ZONES}").groupBy(F.col("bucket").cast("bigint").alias("bucket")).agg(
+        F.min("first_key").alias("first_key"), F.max("last_key").alias("last_key"), F.sum("rows").alias("n"))
+
+
+def land_by_manifest(spark, sf_dir):
+    """Lines of the files whose manifest has streets, landed and numbered; no other file is opened."""
+    root, path = sample.drop_dir(spark, sf_dir), staging_path(spark, "manifest")
+    jobs.count_all(spark, root, path, "source_file", PART_FILES)
+    lines = jobs.prepare(spark, root, SAMPLE, source="source_file", glob=PART_FILES, manifest=path, types=("15",))
+    return lines.select("source_file", "line_no", "record_type", "key")
+
+
+def split_lines(spark, sf_dir):
+    """Every line of a written split, in part-file order."""
+    path = staging_path(spark, "split")
+    sinks.write_split(filters.keep_types(sample_lines(spark, sf_dir)), path, SAMPLE)
+    return _read_back(spark, path, "split_file").select(F.col("source_file").alias("split_file"), "line_no", "record_type", "key", _serial())
+
+
+def merged_lines(spark, sf_dir):
+    """Every line of written merges, in part-file order, with its header line in front."""
+    path = staging_path(spark, "merged")
+    sinks.write_merged(filters.keep_types(sample_lines(spark, sf_dir), ("15", "24")), path, SAMPLE, include_headers=True)
+    lines = _read_back(spark, path, "merged_file")
+    return lines.select(F.col("source_file").alias("merged_file"), "line_no", "key", _serial(),
+                        F.when(F.col("line_no") == 0, F.col("value")).alias("header"))
+
+
 def lookup_batch(spark, sf_dir):
     keys = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("key"))
     orders = filters.with_type(landed_lines(spark, sf_dir), "24")
@@ -381,5 +424,6 @@ ALL: dict[str, Query] = {
         sort_uprn, sort_usrn, sort_multi, colocated, global_index,
         group_uprn, group_usrn, group_usrn_first, group_gapped, group_uprn_chunks, group_usrn_chunks, part_names,
         group_uprn_nested, lookup_key, lookup_colocated, lookup_batch, orphans, rejects,
-        open_quotes, same_names, accounted, group_uprn_segments)
+        open_quotes, same_names, accounted, group_uprn_segments,
+        lookup_stored, zones, land_by_manifest, split_lines, merged_lines)
 }

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dropweave.functions import csvtext
 from dropweave.functions.registry import Registry
 
 _HEADER_LINE_NO = -1
+ZONES = "_index/zones"
 
 
 def _write_ordered(rows: DataFrame, path: str, directory: str, order: list[str], mode: str) -> None:
@@ -60,6 +62,46 @@ def write_table(typed: DataFrame, path: str, header: bool = False, mode: str = "
     typed.write.mode(mode).options(**csvtext.WRITE_OPTIONS).option("header", header).csv(path)
 
 
+def _hadoop_path(spark: SparkSession, path: str) -> tuple:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _put_folders(spark: SparkSession, made: str, column: str, wanted: dict[str, str]) -> None:
+    """Move the folders ``<column>=<name>`` of a written tree to where they are wanted; a folder nothing was written to is made empty."""
+    for name, target in wanted.items():
+        (store, place), (_, source) = _hadoop_path(spark, target), _hadoop_path(spark, f"{made}/{column}={name}")
+        store.delete(place, True)
+        store.mkdirs(place.getParent())
+        if not (store.rename(source, place) if store.exists(source) else store.mkdirs(place)):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
+def write_sorted(rows: DataFrame, out: str, names: dict[str, str], rejects: str | None = None, mode: str = "errorifexists") -> None:
+    """What ``sort_together`` gives as CSV, one folder for each type (``names`` of record types); part files in name order are sorted.
+
+    With ``rejects``, lines that do not fit go to folders of the same names there, as they are.  One write makes all of it, beside the
+    output, and its folders are then moved.
+    """
+    spark, made = rows.sparkSession, f"{out.rstrip('/')}/_sorting-{uuid.uuid4().hex}"
+    wanted = {f"good-{name}": f"{out}/{name}" for name in names.values()}
+    if rejects:
+        wanted |= {f"bad-{name}": f"{rejects}/{name}" for name in names.values()}
+    for target in wanted.values():
+        store, place = _hadoop_path(spark, target)
+        if mode != "overwrite" and store.exists(place):
+            raise FileExistsError(target)
+    kind = F.when(F.col("corrupt") & F.lit(bool(rejects)), F.lit("bad-")).otherwise(F.lit("good-"))
+    of_type = F.create_map(*chain.from_iterable((F.lit(i), F.lit(n)) for i, n in names.items()))[F.col("record_type")]
+    text = F.when(kind == "bad-", F.col("value")).otherwise(F.col("text"))
+    try:
+        rows.select(F.concat(kind, of_type).alias("folder"), text.alias("value")).write.partitionBy("folder").text(made)
+        _put_folders(spark, made, "folder", wanted)
+    finally:
+        store, left = _hadoop_path(spark, made)
+        store.delete(left, True)
+
+
 def write_chunks(grouped: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Groups by chunk: ``part_file=part-NNNN.csv/``, each parent followed by its children."""
     named = grouped.withColumn("part_file", csvtext.part_name(F.col("chunk")))
@@ -67,5 +109,13 @@ def write_chunks(grouped: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def write_colocated(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Rows with a ``bucket`` (see ``colocate``) as Parquet, one directory per bucket."""
+    """Rows with a ``bucket`` (see ``colocate``) as Parquet, one directory per bucket, and their zones beside them.
+
+    ``_index/zones`` has the smallest and largest key and the rows of every file, so lookups in a later session need nothing but
+    the path.  It reads the keys alone, and lies where scans of the table pass over it.
+    """
     rows.write.mode(mode).partitionBy("bucket").parquet(path)
+    table = rows.sparkSession.read.parquet(path)
+    zones = table.select("bucket", F.col("_metadata.file_name").alias("file"), "key").groupBy("bucket", "file").agg(
+        F.min("key").alias("first_key"), F.max("key").alias("last_key"), F.count(F.lit(1)).alias("rows"))
+    zones.write.mode(mode).parquet(f"{path}/{ZONES}")

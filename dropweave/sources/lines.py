@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from dropweave.functions import csvtext
 from dropweave.functions.registry import CONTROL_IDS, Registry
 from dropweave.session import broadcast_if_small, stage, staging_path
+from dropweave.sources.listing import walk
 
 LINE_SCHEMA = "source_file STRING, part STRING, block BIGINT, pos BIGINT, value STRING"
 RECORD_SCHEMA = "source_file STRING, line_no BIGINT, value STRING"
 _LANDED = ", record_type STRING, key BIGINT, family STRING"
 TEXT_FILES = "*.{csv,gz}"
+PRUNED_FILES = 10_000  # names in a filter
 
 
 def decoded(path: Column) -> Column:
@@ -21,10 +23,11 @@ def decoded(path: Column) -> Column:
     return F.when(path.contains("%"), plain).otherwise(path)
 
 
-def _folder_name(path: Column) -> Column:
-    """Name of the enclosing directory, without the ``column=`` Spark puts in front."""
+def _folder_name(path: Column, plain: bool = False) -> Column:
+    """Name of the enclosing directory, without the ``column=`` Spark puts in front.  A ``plain`` path is not encoded."""
     folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    return decoded(F.substring_index(folder, "=", -1))
+    value = F.substring_index(folder, "=", -1)
+    return value if plain else decoded(value)
 
 
 def root_path(spark: SparkSession, path: str) -> str:
@@ -34,10 +37,10 @@ def root_path(spark: SparkSession, path: str) -> str:
     return store.makeQualified(found).toUri().getPath().rstrip("/")
 
 
-def relative_name(part: Column, root: str) -> Column:
+def relative_name(part: Column, root: str, plain: bool = False) -> Column:
     """What identifies a drop file: its path under the root.  A root that is the file itself, or holds wildcards,
-    leaves the bare name, or the whole path."""
-    path = F.regexp_replace(decoded(part), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+    leaves the bare name, or the whole path.  A ``plain`` path is not encoded."""
+    path = F.regexp_replace(part if plain else decoded(part), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
     return (F.when(path == root, F.substring_index(path, "/", -1))
             .when(path.startswith(f"{root}/"), F.substr(path, F.lit(len(root) + 2))).otherwise(path))
 
@@ -46,47 +49,50 @@ def without_cr(text: Column) -> Column:
     return F.when(text.endswith("\r"), F.left(text, F.length(text) - 1)).otherwise(text)
 
 
-def read_lines(spark: SparkSession, path: str | list[str], source: str = "file",
-               glob: str = TEXT_FILES, keep_cr: bool = False, root: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, source: str = "file",
+               glob: str = TEXT_FILES, keep_cr: bool = False, only: DataFrame | None = None) -> DataFrame:
     """Scan plain and gzip text: one row per line, with file lineage.
 
     ``(part, block, pos)`` is the line's place: physical file, start of the file split, and
     a number that rises within the split.  It costs no shuffle.
 
-    ``source`` says what a drop is: one ``file``, known by its path under ``root`` (``path`` itself unless given), so files of
+    ``source`` says what a drop is: one ``file``, known by its path under ``path``, so files of
     equal names in different folders are different drops; a ``directory`` of part files, or the name
     of a partition column (``<column>=<drop>/part-...``, as Spark writes it).  The last is
     the cheaper one of the two kinds of directory, being no work per line.
+
+    ``only`` names the source files to read.  A name is made of nothing but what the file index knows, so up to ``PRUNED_FILES`` names are a
+    filter that reaches it: other files are never opened.  A longer list is a semi-join, broadcast if it is small.
     """
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob)
     if source in ("file", "directory"):
         raw = reader.option("recursiveFileLookup", "true").text(path)
-        name = (relative_name(F.col("_metadata.file_path"), root_path(spark, root or path)) if source == "file"
+        name = (relative_name(F.col("_metadata.file_path"), root_path(spark, path)) if source == "file"
                 else _folder_name(F.col("_metadata.file_path")))
     else:
         raw = reader.schema(f"value STRING, `{source}` STRING").text(path)
         name = F.col(source)
     value = F.col("value") if keep_cr else without_cr(F.col("value"))
-    return raw.select(
+    wanted = None if only is None else stage(only.select("source_file").distinct(), "wanted-files")
+    few = wanted is not None and wanted.count() <= PRUNED_FILES
+    if few:
+        raw = raw.filter(name.isin([row.source_file for row in wanted.collect()]))
+    lines = raw.select(
         name.alias("source_file"),
         F.col("_metadata.file_path").alias("part"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         value.alias("value"))
+    return lines if wanted is None or few else lines.join(broadcast_if_small(wanted), "source_file", "left_semi")
 
 
 def list_files(spark: SparkSession, path: str, source: str = "file", glob: str = TEXT_FILES) -> DataFrame:
-    """``(source_file, part)`` of every text file, also those with no bytes in them.
-
-    A scan shows no row for a zero-byte file, so the names come from the file index.
-    """
-    index = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    # The names stay in the JVM, however many there are.
-    functions = spark._jvm.org.apache.spark.sql.functions
-    names = functions.lit(index.format("binaryFile").load(path)._jdf.inputFiles())
-    listed = DataFrame(spark.range(1)._jdf.withColumn("part", functions.explode(names)), spark).select("part")
-    name = relative_name(F.col("part"), root_path(spark, path)) if source == "file" else _folder_name(F.col("part"))
-    return listed.select(name.alias("source_file"), decoded(F.col("part")).alias("part"))
+    """``(source_file, part)`` of every text file, also those with no bytes in them, which no scan shows."""
+    if source == "file":
+        name = relative_name(F.col("path"), root_path(spark, path), plain=True)
+    else:  # Spark encodes the value of a partition column once more
+        name = _folder_name(F.col("path"), plain=source == "directory")
+    return walk(spark, path, glob).select(name.alias("source_file"), F.col("path").alias("part"))
 
 
 def land(lines: DataFrame, registry: Registry, path: str | None = None, compact: bool = False) -> DataFrame:

@@ -5,14 +5,18 @@ import random
 import subprocess
 import sys
 import zipfile
+import zlib
+from pathlib import Path
 
 import pytest
 from conftest import row
 
+from dropweave import versions
 from dropweave.functions.csvtext import CORRUPT
 from dropweave.operators import counts, filters
 from dropweave.plans import jobs
 from dropweave.sources.archives import read_zip
+from dropweave.sources.listing import walk
 from dropweave.sources.lines import list_files, number_lines, land, read_lines
 from dropweave.sources.records import assemble_records
 from dropweave.sources.typed import parse_type
@@ -119,10 +123,10 @@ def test_zero_byte_file_is_listed_and_not_pending_again(spark, tmp_path):
     got = jobs.count_all(spark, str(folder), path).collect()
     assert [(r.record_type, r.n) for r in got if r.source_file == "empty.csv"] == [(None, 0)]
     files = list_files(spark, str(folder))
-    assert counts.pending_files(files, spark.read.parquet(path)).isEmpty()
-    entries = counts.manifest_text(counts.manifest_entries(spark.read.parquet(path))).collect()
+    assert counts.pending_files(files, jobs.read_manifest(spark, path)).isEmpty()
+    entries = counts.manifest_text(counts.manifest_entries(jobs.read_manifest(spark, path))).collect()
     assert {r.source_file: r.counts for r in entries} == {"empty.csv": "", "good.csv": "10:1,21:1,24:2,29:1,99:1"}
-    exported = counts.manifest_json(counts.manifest_entries(spark.read.parquet(path))).collect()
+    exported = counts.manifest_json(counts.manifest_entries(jobs.read_manifest(spark, path))).collect()
     assert '{"name":"good.csv","counts":{"10":1,"21":1,"24":2,"29":1,"99":1}}' in [r.value for r in exported]
 
 
@@ -271,3 +275,123 @@ def test_unknown_types_are_kept(drop):
     lines = drop(odd)
     assert values(lines) == odd
     assert {r.record_type: r.n for r in counts.count_records(lines).collect()} == {"": 1, "zz": 1, "é,": 1, "9": 1, "24": 1}
+
+
+def test_manifest_of_a_failed_job_is_not_read(spark, tmp_path, monkeypatch):
+    folder, path = tmp_path / "d", str(tmp_path / "manifest")
+    write(folder, "a.csv", DROP)
+    first = sorted(map(str, jobs.count_all(spark, str(folder), path).collect()))
+    write(folder, "b.csv", DROP)
+    # The job dies after the rows were written, before they are named the present ones.
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "_store", dying_after_the_write(path))
+        with pytest.raises(RuntimeError):
+            jobs.count_all(spark, str(folder), path)
+    assert sorted(map(str, jobs.read_manifest(spark, path).collect())) == first
+    # A folder half written by a dead job is passed over, and its number is not used again.
+    (tmp_path / "manifest" / "v-0000000009").mkdir()
+    assert jobs.count_all(spark, str(folder), path).count() == 2 * len(first)
+    assert versions.newest(spark, path).endswith("v-0000000010")
+    for _ in range(3):
+        jobs.count_all(spark, str(folder), path)
+    assert len([p for p in (tmp_path / "manifest").iterdir() if p.name.startswith("v-")]) == versions.KEPT
+
+
+def dying_after_the_write(path):
+    store_of = versions._store
+
+    def store(spark, folder):
+        if any((Path(path) / n).exists() for n in ("v-0000000002/_SUCCESS",)):
+            raise RuntimeError("the job dies here")
+        return store_of(spark, folder)
+    return store
+
+
+def test_landing_by_manifest_opens_files_of_the_types_only(spark, small, tmp_path):
+    folder, path = tmp_path / "d", str(tmp_path / "manifest")
+    write(folder, "a b%.csv", [row(21, 1), row(24, 1), '29,"s"'])
+    write(folder, "b.csv", ['10,"f"', row(21, 2)])
+    write(folder, "c.csv", [row(15, 3)])
+    with zipfile.ZipFile(folder / "z.zip", "w") as z:
+        z.writestr("in/x.csv", "\n".join([row(24, 9), row(15, 1)]))
+        z.writestr("in/y.csv", row(21, 9))
+    jobs.count_all(spark, str(folder), path)
+    lines = jobs.prepare(spark, str(folder), small, manifest=path, types=("24",))
+    assert {(r.source_file, r.line_no, r.record_type) for r in lines.collect()} == {
+        ("a b%.csv", 0, "21"), ("a b%.csv", 1, "24"), ("a b%.csv", 2, "29"), ("z.zip!in/x.csv", 0, "24"), ("z.zip!in/x.csv", 1, "15")}
+    # A file that is not named is not opened: it can be gone, and the index prunes it before any task.
+    only = spark.createDataFrame([("a b%.csv",)], "source_file string")
+    scan = read_lines(spark, str(folder), only=only)
+    assert scan.count() == 3
+    assert {r[0].rsplit("/", 1)[1] for r in scan.select("part").distinct().collect()} == {"a%20b%25.csv"}
+    with pytest.raises(ValueError):
+        jobs.prepare(spark, str(folder), small, types=("24",))
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_named_files_by_filter_and_by_join(spark, tmp_path, monkeypatch, most):
+    from dropweave.sources import lines as module
+    monkeypatch.setattr(module, "PRUNED_FILES", most)
+    for n in range(6):
+        write(tmp_path / "d", f"f{n}.csv", DROP[:n + 1])
+    only = spark.createDataFrame([("f1.csv",), ("f4.csv",), ("no.csv",), (None,)], "source_file string")
+    scan = read_lines(spark, str(tmp_path / "d"), only=only)
+    assert {r.source_file: r["count"] for r in scan.groupBy("source_file").count().collect()} == {"f1.csv": 2, "f4.csv": 5}
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert ("LeftSemi" in plan) == (most == 0)
+
+
+def test_listing_in_tasks(spark, tmp_path):
+    root = tmp_path / "d"
+    for folder in ("", "a", "a/b c", "x=1", "_hidden", ".git", "empty"):
+        (root / folder).mkdir(parents=True, exist_ok=True)
+    for name in ("one.csv", "a/two.csv.gz", "a/b c/three%41.csv", "x=1/part-0", "x=1/_SUCCESS", "_hidden/no.csv", ".git/no.csv", "a/note.txt", "a/.no.csv"):
+        (root / name).write_text("" if "two" in name else "24,x\n")
+    got = list_files(spark, str(root))
+    assert sorted(r.source_file for r in got.collect()) == ["a/b c/three%41.csv", "a/two.csv.gz", "one.csv"]
+    # No list of names lies in the plan, only staged tables.
+    assert "three" not in got._jdf.queryExecution().toString()
+    assert [r.source_file for r in list_files(spark, str(root), "x", "part-*").collect()] == ["1"]
+    assert [r.source_file for r in list_files(spark, str(root / "one.csv")).collect()] == ["one.csv"]
+    assert [r.part.rsplit("/", 1)[1] for r in list_files(spark, str(root / "a*" / "*.gz")).collect()] == ["two.csv.gz"]
+    sizes = {r.path.rsplit("/", 1)[1]: r.size for r in walk(spark, str(root)).collect()}
+    assert sizes == {"one.csv": 5, "two.csv.gz": 0, "three%41.csv": 5, "part-0": 5, "note.txt": 5}
+    jobs.count_all(spark, str(root), str(tmp_path / "m"))
+    assert {(r.source_file, r.n) for r in jobs.read_manifest(spark, str(tmp_path / "m")).collect()} == {
+        ("one.csv", 1), ("a/two.csv.gz", 0), ("a/b c/three%41.csv", 1)}
+
+
+class Watched(io.BytesIO):
+    def read(self, size=-1):
+        data = super().read(size)
+        Watched.bytes += len(data)
+        return data
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED])
+def test_a_member_is_read_from_its_own_place(method):
+    from dropweave.sources.archives import MemberStream, directory
+    packed = io.BytesIO(b"")
+    packed.write(b"some bytes in front")
+    with zipfile.ZipFile(packed, "a", method) as z:
+        for n in range(2000):
+            z.writestr(f"m{n}.csv", f"{n}," * (n % 50))
+        z.mkdir("folder")
+    members = directory(io.BytesIO(packed.getvalue()))
+    assert len(members) == 2000
+    Watched.bytes = 0
+    for m in members[::100]:
+        stream, text = MemberStream(Watched(packed.getvalue()), m.header, m.packed, m.method, m.flags, m.crc), b""
+        while block := stream.read(7):
+            text += block
+        n = int(m.name[1:-4])
+        assert text == (f"{n}," * (n % 50)).encode()
+    assert Watched.bytes < 20 * 500  # the directory alone has over 100,000 bytes
+    m = members[49]
+    broken = bytearray(packed.getvalue())
+    broken[m.header + 30 + len(m.name) + 2] ^= 1
+    for data, place in ((bytes(broken), m.header), (packed.getvalue(), m.header + 1), (packed.getvalue()[:m.header + 30 + len(m.name) + 3], m.header)):
+        with pytest.raises((zipfile.BadZipFile, zlib.error)):
+            stream = MemberStream(io.BytesIO(data), place, m.packed, m.method, m.flags, m.crc)
+            while stream.read(1000):
+                pass

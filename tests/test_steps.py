@@ -5,7 +5,7 @@ from dropweave import sinks
 from dropweave.__main__ import main
 from dropweave.functions import csvtext
 from dropweave.functions.registry import RecordType, Registry
-from dropweave.operators import counts, filters, ordering
+from dropweave.operators import counts, filters, grouping, ordering
 from dropweave.plans import jobs
 from dropweave.sources.typed import good_rows, parse_type, read_typed
 from pyspark.sql import functions as F
@@ -154,7 +154,7 @@ def test_command_line_with_the_standard_types(spark, tmp_path):
     main(["group-uprn", "--landed", landed, "--output", base + "/uprn", "--chunk-size", "1"])
     main(["group-usrn", "--input", str(folder), "--scan-mode", "record", "--output", base + "/usrn", "--limit-per-key", "1"])
     main(["count", "--input", str(folder), "--output", base + "/manifest"])
-    assert spark.read.parquet(base + "/manifest").count() == 5
+    assert jobs.read_manifest(spark, base + "/manifest").count() == 5
     assert [v[:2] for v in text(spark, base + "/uprn/part_file=part-0001.csv")] == ["21", "24", "31"]
     assert len(text(spark, base + "/usrn")) == 4
     assert text(spark, base + "/bad/Records_LPI") == []
@@ -188,3 +188,48 @@ def test_sort_keeps_rows_that_do_not_fit(spark, drop, small, tmp_path):
 
 def test_undeclared_type_is_found(drop):
     assert [r.value for r in filters.with_type(drop(["23,x", row(24, 1)]), "23").collect()] == ["23,x"]
+
+
+def test_types_sorted_together_are_those_sorted_apart(spark, drop, small, tmp_path):
+    files = [[row(i, k % 17 if k % 5 else "", f"t{k}", k) for k in range(f, 90, 3) for i in (21, 24, 31)] + ['24,"I",bad,4,t'] for f in range(3)]
+    lines = drop(*files)
+    ids = ("24", "31", "21")
+    jobs.sort_records(lines, str(tmp_path / "o"), small, ids, rejects=str(tmp_path / "r"))
+    for record_id in ids:
+        name = small[record_id].name
+        apart = good_rows(ordering.global_sort(lines, small[record_id]))
+        want = [r.v for r in apart.select(csvtext.format_line(*apart.columns).alias("v")).collect()]
+        assert text(spark, str(tmp_path / "o" / f"Records_{name}")) == want and len(want) == 90
+        assert text(spark, str(tmp_path / "r" / f"Records_{name}")) == (['24,"I",bad,4,t'] * 3 if record_id == "24" else [])
+    together = ordering.sort_together(lines, [small[i] for i in ids], "TEXT").collect()
+    assert [r.record_type for r in together] == ["24"] * 93 + ["31"] * 90 + ["21"] * 90
+    with pytest.raises(FileExistsError):
+        jobs.sort_records(lines, str(tmp_path / "o"), small, ("24",))
+    jobs.sort_records(lines, str(tmp_path / "o"), small, ("24", "15"), "PRO_ORDER", mode="overwrite")
+    assert text(spark, str(tmp_path / "o" / "Records_StreetDescriptor")) == []
+    assert len(text(spark, str(tmp_path / "o" / "Records_LPI"))) == 93
+    assert not [p for p in (tmp_path / "o").iterdir() if p.name.startswith("_sorting")]
+    with pytest.raises(ValueError):
+        ordering.sort_together(lines, [small["21"], small["11"]], "UPRN")
+
+
+def test_sort_is_one_job_with_one_sample(spark, drop, small):
+    plan = ordering.sort_together(drop(*FILES), [small[i] for i in ("21", "24")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1
+
+
+def test_lookup_by_path_alone(spark, drop, tmp_path):
+    lines = drop([row(24, k, f"t{k}") for k in range(300)] + [row(24, 150, "hot") for _ in range(50)])
+    path = str(tmp_path / "buckets")
+    sinks.write_colocated(ordering.colocate(lines, 60), path)
+    fresh = spark.newSession()
+    found = grouping.lookup_stored(fresh, path, 150)
+    assert found.count() == 51 and found.select("bucket").distinct().count() == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters")[1][:80]
+    assert grouping.lookup_stored(fresh, path, 10_000).count() == 0
+    zones = fresh.read.parquet(f"{path}/{sinks.ZONES}").collect()
+    assert sum(r.rows for r in zones) == 350 and fresh.read.parquet(path).count() == 350
+    spans = {(r.bucket, r.file): (r.first_key, r.last_key) for r in zones}
+    opened = found.select("bucket", F.col("_metadata.file_name")).distinct().collect()
+    assert {tuple(r) for r in opened} <= {place for place, (a, b) in spans.items() if a <= 150 <= b}

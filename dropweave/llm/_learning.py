@@ -14,6 +14,7 @@ from dropweave.llm._common import id_crc, text_chunks
 
 
 HASHES = 1 << 40
+SLICE_BYTES = 1 << 20
 
 
 def share(wanted: int, there: int) -> int:
@@ -24,7 +25,10 @@ def share(wanted: int, there: int) -> int:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, per_class: int,
                     sample_bytes: int) -> tuple[list[str], np.ndarray]:
     """Texts and labels for training: of either class the ``per_class`` rows with the smallest hash of their id that are
-    labelled, not held out and of at most ``sample_bytes`` of text, so what reaches the driver is bounded."""
+    labelled, not held out and of at most ``sample_bytes`` of text, so what reaches the driver is bounded.
+
+    Rows are chosen by numbers alone; only the texts of the chosen ones are moved.
+    """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("_label"))
@@ -32,14 +36,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
     # A share of the hash values that holds about twice the wanted rows goes first, so the sort sees no more than these.
     wanted = [known.filter((F.col("_label") == y) & (place < share(8 * per_class, sizes.get(y, 0)))).orderBy(place, "doc_id").limit(
         4 * per_class) for y in (1, 0)]
-    wanted = wanted[0].union(wanted[1])
-    rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes)).join(
-        F.broadcast(wanted), "doc_id")  # at most 8 * per_class pairs of numbers
-    picked = [rows.filter(F.col("_label") == y).orderBy(place, "doc_id", "text").limit(per_class) for y in (1, 0)]
-    found = picked[0].union(picked[1]).select("text", "_label").toArrow()
+    rows = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= sample_bytes)).select(
+        "doc_id", F.xxhash64("text").alias("_hash"), "text")
+    fitting = rows.drop("text").join(F.broadcast(wanted[0].union(wanted[1])), "doc_id").distinct()  # at most 8 * per_class pairs of numbers
+    picked = [fitting.filter(F.col("_label") == y).orderBy(place, "doc_id", "_hash").limit(per_class) for y in (1, 0)]
+    chosen = F.broadcast(picked[0].union(picked[1]))
+    found = rows.join(chosen, ["doc_id", "_hash"]).dropDuplicates(["doc_id", "_hash"]).orderBy(F.desc("_label"), place, "doc_id", "_hash").select(
+        "text", "_label").toArrow()
     return found.column(0).to_pylist(), np.asarray(found.column(1)).astype(np.float64)
 
 
+def slices(texts: list[str], limit: int = SLICE_BYTES) -> Iterator[slice]:
+    """Runs of texts of about ``limit`` characters; what is worked out for a character takes a hundred times its size."""
+    begin, held = 0, 0
+    for place, text in enumerate(texts):
+        if held and held + len(text) > limit:
+            yield slice(begin, place)
+            begin, held = place, 0
+        held += len(text)
+    if texts:
+        yield slice(begin, len(texts))
+
+
 class Adam:
     def __init__(self, weights: dict[str, np.ndarray], rate: float) -> None:
         self.weights, self.rate, self.step = weights, rate, 0

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from dropweave.llm._learning import Adam, sigmoid
+from dropweave.llm._learning import Adam, sigmoid, slices
 from dropweave.llm._words import NOT_BLANK, byte_table, words
 
 PASSAGE_WORDS = 64
@@ -45,13 +45,17 @@ def passage_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     begins = np.flatnonzero(place % PASSAGE_WORDS == 0)
     passage = np.cumsum(place % PASSAGE_WORDS == 0) - 1
     per_text = np.bincount(found.text[begins], minlength=len(texts))
-    # Bytes of a passage: from its first word to the next passage's; what follows the last word of a text goes with it.
-    limits = np.append(found.starts[begins], len(found.data))
-    sizes = np.diff(limits)
-    data = found.data[limits[0]:]
-    classes = _CLASSES[data]
-    pairs = classes[:-1] * N_CLASSES + classes[1:]
-    of_byte = np.repeat(np.arange(len(begins)), sizes)[:-1]
+    # Bytes of a passage: from its first word to the next passage's, or to the end of its text.  Each pairs with the byte after it;
+    # behind a text that is the line feed between texts, so a score hangs on its own text only.
+    starts = found.starts[begins]
+    text_ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) + 1) - 1
+    of_text = found.text[begins]
+    same = np.append(of_text[1:] == of_text[:-1], False)
+    sizes = np.where(same, np.append(starts[1:], 0), text_ends[of_text]) - starts
+    classes = _CLASSES[found.data]
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    pairs = classes[at] * N_CLASSES + classes[at + 1]
+    of_byte = np.repeat(np.arange(len(begins)), sizes)
     shares = np.bincount(of_byte * N_CLASSES**2 + pairs, minlength=len(begins) * N_CLASSES**2).reshape(len(begins), -1)
     count = np.bincount(passage).astype(np.float64)
     length = found.ends - found.starts
@@ -108,7 +112,9 @@ def train(texts: list[str], labels: np.ndarray) -> Model | float:
     """A model, or the constant score there is evidence for."""
     if not len(labels) or labels.min() == labels.max():
         return float(labels[0]) if len(labels) else 0.5
-    rows, counts = passage_features(texts)
+    parts = [passage_features(texts[part]) for part in slices(texts)]
+    rows, counts = np.concatenate([r for r, _ in parts]), np.concatenate([c for _, c in parts])
+    del parts
     begin = np.cumsum(counts) - counts
     model = Model(rows.mean(0), rows.std(0) + 0.02)
     adam, draw = Adam(model.weights, RATE), np.random.default_rng(11)

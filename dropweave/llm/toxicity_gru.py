@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from dropweave.llm._learning import Adam, sigmoid
+from dropweave.llm._learning import Adam, sigmoid, slices
 from dropweave.llm._words import ALNUM, mixed, words
 
 WORD_BUCKETS, TRIGRAM_BUCKETS = 1 << 14, 1 << 14
@@ -26,6 +26,7 @@ WINDOW, STRIDE = 32, 16
 PER_CLASS, SAMPLE_BYTES = 2000, 20_000
 ROUNDS, BATCH, RATE = 8, 64, 0.01
 SCORED = 4096
+TEXTS = 200
 
 
 class Tokens:
@@ -34,8 +35,8 @@ class Tokens:
     def __init__(self, texts: list[str]) -> None:
         found = words([t.lower().encode("utf-8", "replace") for t in texts], ALNUM)
         self.counts = found.counts
-        distinct, first, self.codes = np.unique(found.hashes, return_index=True, return_inverse=True)
-        self.bucket = (distinct % np.uint64(WORD_BUCKETS)).astype(np.int64)
+        self.hashes, first, self.codes = np.unique(found.hashes, return_index=True, return_inverse=True)
+        self.bucket = (self.hashes % np.uint64(WORD_BUCKETS)).astype(np.int64)
         starts, sizes = found.starts[first], found.ends[first] - found.starts[first]
         # Byte before and after the word count as blank, so a trigram knows where a word begins and ends.
         self.sizes = sizes
@@ -48,6 +49,25 @@ class Tokens:
             left[self.begin], right[self.begin + sizes - 1] = 32, 32
         self.trigrams = (mixed(left << np.uint64(16) | middle << np.uint64(8) | right) % np.uint64(TRIGRAM_BUCKETS)).astype(np.int64)
 
+    @classmethod
+    def of_many(cls, texts: list[str]) -> Tokens:
+        """As ``Tokens(texts)``, in slices: the distinct words of a slice are kept, not what is worked out for its bytes."""
+        parts = [cls(texts[part]) for part in slices(texts)]
+        if len(parts) < 2:
+            return parts[0] if parts else cls(texts)
+        out = cls.__new__(cls)
+        out.counts = np.concatenate([p.counts for p in parts])
+        offsets = np.cumsum([0, *(len(p.hashes) for p in parts)])
+        out.hashes, first, same = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
+        out.codes = np.concatenate([same[o:][p.codes] for o, p in zip(offsets, parts)])
+        out.bucket = np.concatenate([p.bucket for p in parts])[first]
+        sizes, trigrams = np.concatenate([p.sizes for p in parts]), np.concatenate([p.trigrams for p in parts])
+        starts = (np.cumsum(sizes) - sizes)[first]
+        out.sizes = sizes[first]
+        out.begin = np.cumsum(out.sizes) - out.sizes
+        out.trigrams = trigrams[np.repeat(starts - out.begin, out.sizes) + np.arange(out.sizes.sum())]
+        return out
+
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Codes of every window, -1 beyond the text, and the number of windows per text."""
         per_text = np.where(self.counts > 0, np.maximum(1, -(-(self.counts - STRIDE) // STRIDE)), 0)
@@ -71,19 +91,24 @@ class Network:
 
     def start_from(self, tokens: Tokens, labels: np.ndarray) -> None:
         """First axes from the log odds of texts that hold a word or trigram."""
-        text = np.repeat(np.arange(len(labels)), tokens.counts)
-        for name, buckets, kind in (("words", WORD_BUCKETS, 0), ("trigrams", TRIGRAM_BUCKETS, 1)):
-            if kind:
-                at = np.repeat(tokens.begin[tokens.codes], tokens.sizes[tokens.codes])
-                sizes = tokens.sizes[tokens.codes]
-                bucket = tokens.trigrams[at + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
-                pairs = np.unique(np.repeat(text, sizes) * buckets + bucket)
-            else:
-                pairs = np.unique(text * buckets + tokens.bucket[tokens.codes])
-            toxic = labels[pairs // buckets] > 0
-            count = [np.bincount(pairs[toxic == y] % buckets, minlength=buckets) for y in (True, False)]
-            odds = np.log((count[0] + 0.5) / (labels.sum() + 1)) - np.log((count[1] + 0.5) / (len(labels) - labels.sum() + 1))
-            self.weights[name][:, 0] = np.clip(odds * (count[0] + count[1] >= 3), -3, 3) / 2
+        for name, buckets in (("words", WORD_BUCKETS), ("trigrams", TRIGRAM_BUCKETS)):
+            count = np.zeros((2, buckets), np.int64)  # not toxic, toxic
+            ends = np.cumsum(tokens.counts)
+            # Texts a few at a time: a text counts once for each of its buckets.
+            for first in range(0, len(labels), TEXTS):
+                part = slice(first, first + TEXTS)
+                counts = tokens.counts[part]
+                codes = tokens.codes[ends[first] - counts[0]:ends[part][-1]]
+                text = np.repeat(np.arange(len(counts)), counts)
+                if name == "words":
+                    pairs = np.unique(text * buckets + tokens.bucket[codes])
+                else:
+                    sizes = tokens.sizes[codes]
+                    at = np.repeat(tokens.begin[codes] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                    pairs = np.unique(np.repeat(text, sizes) * buckets + tokens.trigrams[at])
+                np.add.at(count, ((labels[part][pairs // buckets] > 0).astype(np.int64), pairs % buckets), 1)
+            odds = np.log((count[1] + 0.5) / (labels.sum() + 1)) - np.log((count[0] + 0.5) / (len(labels) - labels.sum() + 1))
+            self.weights[name][:, 0] = np.clip(odds * (count.sum(0) >= 3), -3, 3) / 2
 
     def inputs(self, tokens: Tokens, dtype: type = np.float64) -> np.ndarray:
         """Vector of each distinct word."""
@@ -168,7 +193,7 @@ def train(texts: list[str], labels: np.ndarray) -> Network | float:
     """A network, or the constant score there is evidence for."""
     if not len(labels) or labels.min() == labels.max():
         return float(labels[0]) if len(labels) else 0.0
-    tokens, net, draw = Tokens(texts), Network(), np.random.default_rng(17)
+    tokens, net, draw = Tokens.of_many(texts), Network(), np.random.default_rng(17)
     codes, counts = tokens.windows()
     net.start_from(tokens, labels)
     adam, begin = Adam(net.weights, RATE), np.cumsum(counts) - counts

@@ -1,12 +1,15 @@
 """Passage attention, toxicity network and the split of labelled rows."""
 
 import random
+import re
+import zlib
+from math import exp, log1p, sqrt, tanh
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dropweave.llm import passage_attention, toxicity_gru
+from dropweave.llm import passage_attention, queries, toxicity_gru
 from dropweave.llm._common import id_crc
 from dropweave.llm._learning import judged, labelled_sample, scored, sigmoid
 
@@ -27,7 +30,6 @@ def test_sample_keeps_held_out_rows_and_bounds(spark):
         "quality", F.col("quality").cast("int"))
     texts, known = labelled_sample(docs, labels, "quality", id_crc("doc_id") % 4 == 2, 30, 50)
     assert len(texts) == 60 and known.sum() == 30
-    import zlib
     for t in texts:
         i = int(t[1:])
         assert zlib.crc32(str(i).encode()) % 4 != 2 and i % 5
@@ -136,6 +138,125 @@ def test_scores_of_a_table(spark):
     model = passage_attention.train([prose(20), "| " * 50] * 10, np.array([1.0, 0.0] * 10))
     df = spark.createDataFrame([(1, "a b", 5), (1, "a b", 5), (None, None, 6), (2, "", None)], "doc_id long, text string, score long")
     got = judged(df, scored(df.drop("score"), model, passage_attention.score, "text", ["doc_id"]), 4, 2, 0.7)
-    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 4
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and len(got.collect()) == 4
+    assert [r.held_out for r in got.filter("doc_id IS NULL").collect()] == [zlib.crc32(b"") % 4 == 2]
     assert len({r.score for r in got.filter("doc_id = 1").collect()}) == 1
     assert scored(df.limit(0), model, passage_attention.score, "text", ["doc_id"], "s").count() == 0
+
+
+def test_queries_hold_rows_without_an_id(spark, tmp_path):
+    folder = str(tmp_path)
+    docs = spark.createDataFrame([(None, "a null id"), (None, None)] + [(i, prose(30) if i % 2 else "| " * 60 + "idiot") for i in range(80)],
+                                 "doc_id long, text string")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(None, 1, 1), (3, None, None)] + [(i, i % 2, 1 - i % 2) for i in range(80)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    for query in (queries.passage_quality, queries.toxicity):
+        rows = query(spark, folder).collect()
+        assert len(rows) == 82 and sum(r.doc_id is None for r in rows) == 2
+        odd, even = ([r.score for r in rows if r.doc_id is not None and r.doc_id % 2 == y] for y in (1, 0))
+        assert min(odd) > max(even) if query is queries.passage_quality else max(odd) < min(even)
+
+
+TEXTS = ["", " \n ", "\n lead and trail \n\n", "one", "Good words, good words | 12 (x) 'y' é über?! " * 40, "x " * 130, "tab\tand \x0b more\r\n" * 30, "東京 " * 70]
+
+
+def plain_passages(text):
+    """Features of each passage, counted byte by byte."""
+    data = text.encode()
+    found = [m.span() for m in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", data)]
+    out = []
+    for first in range(0, len(found), passage_attention.PASSAGE_WORDS):
+        own = found[first:first + passage_attention.PASSAGE_WORDS]
+        end = found[first + passage_attention.PASSAGE_WORDS][0] if first + passage_attention.PASSAGE_WORDS < len(found) else len(data)
+        n = passage_attention.N_CLASSES
+        row, size = [0.0] * (n * n), end - own[0][0]
+        for i in range(own[0][0], end):
+            after = data[i + 1] if i + 1 < len(data) else 10
+            row[passage_attention._CLASSES[data[i]] * n + passage_attention._CLASSES[after]] += 1
+        words, lengths = [data[a:b] for a, b in own], [b - a for a, b in own]
+        mean = sum(lengths) / len(own)
+        spread = sqrt(max(sum(x * x for x in lengths) / len(own) - mean * mean, 0))
+        out.append([sqrt(x / size) for x in row] + [
+            sum(a == b for a, b in zip(words, words[1:])) / len(own), len(set(words)) / len(own), log1p(mean), log1p(spread),
+            log1p(len(own)), log1p(max(lengths))])
+    return out
+
+
+def test_quality_agrees_with_plain_loops():
+    model = passage_attention.train([prose(150) for _ in range(40)] + ["| x " * 90] * 40, np.array([1.0, 0.0] * 40))
+    got = passage_attention.score(model, TEXTS)
+    w = {k: v.tolist() for k, v in model.weights.items()}
+    for text, value in zip(TEXTS, got):
+        held = []
+        for row in plain_passages(text):
+            x = [(v - m) / s for v, m, s in zip(row, model.mean.tolist(), model.scale.tolist())]
+            h = [tanh(sum(x[i] * w["w"][i][j] for i in range(len(x))) + w["b"][j]) for j in range(passage_attention.HIDDEN)]
+            gated = [tanh(sum(h[i] * w["v"][i][j] for i in range(len(h)))) / (1 + exp(-sum(h[i] * w["u"][i][j] for i in range(len(h)))))
+                     for j in range(passage_attention.GATE)]
+            held.append((exp(sum(a * g for a, g in zip(w["a"], gated))), h))
+        if not held:
+            assert value == 0
+            continue
+        total = sum(e for e, _ in held)
+        pooled = [sum(e / total * h[j] for e, h in held) for j in range(passage_attention.HIDDEN)]
+        assert value == pytest.approx(1 / (1 + exp(-sum(p * o for p, o in zip(pooled, w["o"])) - w["c"][0])), abs=1e-4)
+    alone = [passage_attention.score(model, [t])[0] for t in TEXTS]
+    assert alone == pytest.approx(got.tolist(), abs=1e-9)  # whatever texts lie beside it
+
+
+def plain_hash(data, size):
+    mask, factor, h = 2**64 - 1, 0x9E3779B97F4A7C15, 0
+    if size is None:
+        for place, byte in enumerate(data, 1):
+            h = (h + (byte + 1) * pow(factor, place, 2**64)) & mask
+    else:
+        h = data[0] << 16 | data[1] << 8 | data[2]
+    for shift, by in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        h = ((h ^ (h >> shift)) * by) & mask
+    h ^= h >> 33
+    return h % (toxicity_gru.WORD_BUCKETS if size is None else size)
+
+
+def test_toxicity_agrees_with_plain_loops():
+    texts = [t for t in TEXTS if len(t) < 900] + ["You scumbag, go " + "home " * 40]
+    train = [prose(40) for _ in range(40)] + [prose(30, ["scumbag"]) for _ in range(40)]
+    net = toxicity_gru.train(train, np.array([0.0] * 40 + [1.0] * 40))
+    w, size = net.weights, toxicity_gru.HIDDEN
+
+    def sig(v):
+        return 1 / (1 + np.exp(-v))
+
+    def logit(window):
+        states = {}
+        for d, order in (("f", range(len(window))), ("b", range(len(window) - 1, -1, -1))):
+            state = np.zeros(size)
+            for t in order:
+                x = window[t] @ w[f"x{d}"] + w[f"n{d}"]
+                back = state @ w[f"h{d}"]
+                r, z = sig(x[:size] + back[:size]), sig(x[size:2 * size] + back[size:2 * size])
+                state = state + z * (np.tanh(x[2 * size:] + r * back[2 * size:]) - state)
+                states[t, d] = state
+        held = [np.concatenate([states[t, "f"], states[t, "b"]]) for t in range(len(window))]
+        scores = [np.tanh(h @ w["a"] + w["ab"]) @ w["av"] for h in held]
+        weights = np.exp(scores) / np.exp(scores).sum()
+        return sum(a * h for a, h in zip(weights, held)) @ w["o"] + w["c"][0]
+
+    for text, value in zip(texts, toxicity_gru.score(net, texts)):
+        vectors = []
+        for word in re.findall(rb"[0-9a-zA-Z\x80-\xff]+", text.lower().encode()):
+            padded = b" " + word + b" "
+            trigrams = [w["trigrams"][plain_hash(padded[i:i + 3], toxicity_gru.TRIGRAM_BUCKETS)] for i in range(len(word))]
+            vectors.append(np.concatenate([w["words"][plain_hash(word, None)], sum(trigrams) / len(word)]))
+        starts = range(0, max(len(vectors) - toxicity_gru.STRIDE, 1), toxicity_gru.STRIDE) if vectors else []
+        want = max((sig(logit(vectors[s:s + toxicity_gru.WINDOW])) for s in starts), default=0)
+        assert value == pytest.approx(want, abs=1e-4)
+
+
+def test_tokens_in_slices_are_those_at_once(monkeypatch):
+    texts = [prose(draw.randrange(1, 60), ["naïve", "x"]) for _ in range(50)] + ["", "é" * 30]
+    at_once = toxicity_gru.Tokens(texts)
+    monkeypatch.setattr(toxicity_gru, "slices", lambda t: [slice(i, i + 7) for i in range(0, len(t), 7)])
+    parts = toxicity_gru.Tokens.of_many(texts)
+    for name in ("counts", "hashes", "codes", "bucket", "sizes", "begin", "trigrams"):
+        assert (getattr(parts, name) == getattr(at_once, name)).all(), name

@@ -16,6 +16,7 @@ The centre is the mean of all vectors, added up by axis.  Scores are exact: prod
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -40,16 +41,13 @@ def usable(vector: str) -> Column:
 
 
 def prepare(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """``(vec_id, vector)`` staged: usable vectors of the most frequent length, one per id.
+    """``(vec_id, row, vector)`` staged: all usable vectors with an id.  ``row`` tells rows apart that share an id.
 
-    Of rows that share an id the smallest vector counts; of equally frequent lengths the smaller.  Rows with a null id
-    or a vector of another length take no part.
+    Rows with a null id take no part.
     """
     rows = rows.filter(F.col(id_column).isNotNull() & usable(vector)).select(
         F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    found = (rows.groupBy(F.size("vector").alias("axes")).count().orderBy(F.desc("count"), "axes").first())
-    axes = found.axes if found else 1
-    return stage(rows.filter(F.size("vector") == axes).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    return stage(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
 
 
 class Coder:
@@ -120,24 +118,26 @@ def search_tile(coder: Coder, query_ids: np.ndarray, queries: np.ndarray, ids: n
     for begin in range(0, len(ids), STEP):
         part = slice(begin, begin + STEP)
         here, axes = ids[part], np.ascontiguousarray(vectors[part].T)
-        place = np.minimum(np.searchsorted(here, query_ids), len(here) - 1)  # ids ascend
-        own_row = np.flatnonzero(here[place] == query_ids)
+        # A query's own rows: ids ascend, and several rows may share one.
+        low, high = np.searchsorted(here, query_ids), np.searchsorted(here, query_ids, "right")
+        own_row = np.repeat(np.arange(len(query_ids)), high - low)
+        own_place = np.arange(len(own_row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + np.repeat(low, high - low)
         with np.errstate(invalid="ignore", over="ignore"):
             left, right, rest = coder.sides(queries, codes[part], length[part], own[part], width)
             upper = left @ right.T
-        upper[own_row, place[own_row]] = -np.inf
+        upper[own_row, own_place] = -np.inf
         if begin == 0 and len(here) > k + 1:
             # A first k-th best: score the rows with the k best estimates among the first rows.
             estimate = left[:, :-1] @ right[:, :-1].T
-            estimate[own_row, place[own_row]] = -np.inf
+            estimate[own_row, own_place] = -np.inf
             top = np.argpartition(-estimate, k, axis=1)[:, :k]
             scores = exact(by_axis, axes, np.repeat(np.arange(len(queries)), k), top.ravel()).reshape(-1, k)
-            scores[top == np.where(here[place] == query_ids, place, -1)[:, None]] = -np.inf
+            scores[here[top] == query_ids[:, None]] = -np.inf
             reach = scores.min(1)
         # What is not a number cannot be ruled out; reach loses what rounding to single precision may add.
         limit = (reach - rest - 1e-6 * np.abs(np.where(np.isfinite(reach), reach, 0))).astype(np.float32)
         wanted = ~(upper < limit[:, None])
-        wanted[own_row, place[own_row]] = False
+        wanted[own_row, own_place] = False
         row, column = np.nonzero(wanted)
         scores = np.concatenate([exact(by_axis, axes, row[i:i + 65536], column[i:i + 65536])
                                  for i in range(0, len(row), 65536)] or [np.zeros(0)])
@@ -156,10 +156,21 @@ def search_tile(coder: Coder, query_ids: np.ndarray, queries: np.ndarray, ids: n
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, width: float = ERROR_WIDTH, rows: int = ROWS,
            query_rows: int = QUERIES) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: for each query the k rows found with the largest inner product, but not its own.
+    """``(query_id, rank, vec_id, score)``: for each query row the k rows found with the largest inner product, but none with its own id.
 
-    Both tables are ``(vec_id, vector)`` as ``prepare`` gives them, ids unique, vectors of one length.  Empty tables give no rows.
+    Both tables are as ``prepare`` gives them.  Vectors of each length are searched apart, as there is no product of two lengths.  Rows that
+    share an id are candidates of their own, and queries of their own.  Empty tables give no rows.
     """
+    lengths = [r.axes for r in vectors.groupBy(F.size("vector").alias("axes")).count().orderBy("axes").collect()]  # a handful of models
+    if "row" not in vectors.columns:
+        vectors, queries = (t.withColumn("row", F.col("vec_id")) for t in (vectors, queries))
+    parts = [_search(*(t.filter(F.size("vector") == axes) for t in (vectors, queries)), k, width, rows, query_rows) for axes in lengths or [1]]
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return reduce(DataFrame.union, parts).withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _search(vectors: DataFrame, queries: DataFrame, k: int, width: float, rows: int, query_rows: int) -> DataFrame:
+    """``(query_id, vec_id, score)`` of the k best rows of every query row in every tile, for vectors of one length."""
     spark = vectors.sparkSession
     n_rows, n_queries = vectors.count(), queries.count()
     sums = (vectors.select(F.posexplode("vector").alias("axis", "x")).groupBy("axis").agg(F.avg("x").alias("mean"))
@@ -173,10 +184,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, width: float = ERROR_
             codes, length, own = sent.value.encode(np.stack(batch["vector"].to_numpy())) if len(batch) else ([], [], [])
             yield batch.assign(code=[c.tobytes() for c in codes], length=length, own=own)
 
-    coded = vectors.mapInPandas(encode, "vec_id long, vector array<double>, code binary, length double, own double")
-    tiled_rows = coded.withColumn("row_block", F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)).cast("int")).withColumn(
+    coded = vectors.select("vec_id", "vector", "row").mapInPandas(
+        encode, "vec_id long, vector array<double>, row long, code binary, length double, own double")
+    tiled_rows = coded.withColumn("row_block", F.pmod(F.xxhash64("row"), F.lit(row_blocks)).cast("int")).withColumn(
         "query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    tiled_queries = queries.withColumn("query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).withColumn(
+    tiled_queries = queries.withColumn("query_block", F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int")).withColumn(
         "row_block", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
 
     def tile(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -189,7 +201,5 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, width: float = ERROR_
             np.stack([np.frombuffer(c, np.uint8) for c in held["code"]]), held["length"].to_numpy(), held["own"].to_numpy(), k, width)
         return pd.DataFrame({"query_id": ids[q], "vec_id": found, "score": score})
 
-    near = tiled_queries.groupBy("row_block", "query_block").cogroup(tiled_rows.groupBy("row_block", "query_block")).applyInPandas(
+    return tiled_queries.groupBy("row_block", "query_block").cogroup(tiled_rows.groupBy("row_block", "query_block")).applyInPandas(
         tile, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

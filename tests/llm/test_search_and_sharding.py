@@ -55,13 +55,27 @@ def test_unusable_vectors_take_no_part(spark):
             (7, [2.0, 1.0]), (7, [2.0, 1.0]), (None, [1.0, 1.0]), (8, [float("inf"), 1.0]), (9, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("vector", F.lit("clash"))
     ready = one_bit_ann.prepare(df, "vec_id", "embedding")
-    assert sorted(r.vec_id for r in ready.collect()) == [1, 7]
+    assert sorted(r.vec_id for r in ready.collect()) == [1, 6, 7, 7]
     got = one_bit_ann.search(ready, ready, 20).collect()
-    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(1, 1, 7, 2.0), (7, 1, 1, 2.0)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [
+        (1, 1, 7, 2.0), (1, 2, 7, 2.0), (7, 1, 1, 2.0), (7, 2, 1, 2.0)]
     empty = one_bit_ann.prepare(df.limit(0), "vec_id", "embedding")
     assert one_bit_ann.search(empty, empty, 5).count() == 0
 
 
+def test_lengths_apart_and_rows_that_share_an_id(spark):
+    draw = np.random.default_rng(5)
+    rows = [(int(i), draw.integers(-3, 4, 3 if i % 3 else 5).astype(float).tolist()) for i in draw.integers(0, 60, 400)]
+    rows = [r for r in rows if any(r[1])]
+    df = one_bit_ann.prepare(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in one_bit_ann.search(df, df.filter("vec_id % 20 = 0"), 7, rows=50, query_rows=9).collect())
+    want = []
+    for query in sorted({i for i, _ in rows if i % 20 == 0}):
+        scored = [(-sum(a * b for a, b in zip(q, v)), i) for j, q in rows if j == query for i, v in rows if i != query and len(v) == len(q)]
+        want += [(query, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:7], 1)]
+    assert got == want
+
+
 # --- hash tree
 
 def test_growth_moves_rows_only_into_the_new_shard(spark):

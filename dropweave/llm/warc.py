@@ -113,7 +113,7 @@ class Window:
     """Bytes of a file from any place, read in blocks and let go once passed."""
 
     def __init__(self, file, start: int) -> None:
-        self.file, self.start, self.data, self.done = file, start, b"", False
+        self.file, self.start, self.data, self.done = file, start, bytearray(), False
         file.seek(start)
 
     def more(self) -> bool:
@@ -124,7 +124,8 @@ class Window:
 
     def drop(self, until: int) -> None:
         if until - self.start >= BLOCK_BYTES:
-            self.data, self.start = self.data[until - self.start:], until
+            del self.data[:until - self.start]
+            self.start = until
 
 
 def _member(window: Window, at: int) -> tuple[bytes, int] | None:
@@ -235,6 +236,18 @@ def _batch(rows: list[dict], names: list[str], types: dict) -> pa.RecordBatch:
 
 
 def archive(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write ``pages`` and read the records back, without payloads."""
-    folder = folder or staging_path(spark, "warc")
-    return read(spark, write(pages, folder), payload=False)
+    """Write ``pages`` and read the records back, without payloads; staged.  A file that gives back fewer records than went in is an error."""
+    files = write(pages, folder or staging_path(spark, "warc"))
+    return complete(files, stage(read(spark, files, payload=False), "records"))
+
+
+def complete(files: DataFrame, found: DataFrame) -> DataFrame:
+    """``found``, if it has as many records of each file as its writer counted.
+
+    The reader passes over what is no whole valid record, as it has to between members; so a damaged or cut member shows in the counts only.
+    """
+    lost = files.join(found.groupBy("path").agg(F.count(F.lit(1)).alias("_read")), "path", "left").filter(
+        F.coalesce("_read", F.lit(0)) != F.col("records")).first()
+    if lost:
+        raise ValueError(f"{lost.path} holds {lost.records} records, of which {lost._read or 0} can be read")
+    return found

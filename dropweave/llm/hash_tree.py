@@ -6,21 +6,21 @@ on nothing but the row, the child and its weight.  So if weights change in one s
 out of it.  ``grown`` adds shards as regions of their own: all other draws stay what they were, and the only rows
 that move go to the new shards.
 
-Everything is built-in functions on a projection: no shuffle but the one that numbers the rows of a shard.  Places in a
-shard follow the hash of the id, which is spread evenly, so the order is cut into ranges of hash values that
-are numbered apart from each other and added up; no task holds a shard.
+Everything is built-in functions on a projection, staged once.  Rows are numbered by their place in the order of (shard, hash of the id, id, size, checksum, row): a
+range partitioning that can cut through a shard, and through an id that a third of the rows share.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dropweave.operators.ordering import place_in_group
+from dropweave.session import stage
+
 HEX_DIGITS = 12
-ROWS_PER_RANGE = 50_000
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,7 @@ def place(key: Column, tree: Tree) -> Column:
     return out
 
 
-def shard(docs: DataFrame, tree: Tree, id_column: str = "doc_id", text: str = "text",
-          rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def shard(docs: DataFrame, tree: Tree, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, size, text_crc32, law, shard, slot, grown_shard)`` of every row.
 
     ``size``: UTF-8 bytes of the text (null: none) plus 16.  ``text_crc32`` of a null text is 0, as of an empty one.
@@ -97,18 +96,9 @@ def shard(docs: DataFrame, tree: Tree, id_column: str = "doc_id", text: str = "t
     """
     content = F.coalesce(F.col(text), F.lit(""))
     key = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
-    rows = docs.select(
+    rows = stage(docs.select(
         F.col(id_column), (F.octet_length(content) + 16).cast("bigint").alias("size"), F.crc32(content).alias("text_crc32"),
         F.lit("key").alias("law"), place(key, tree).alias("shard"), place(key, tree.grown()).alias("grown_shard"),
-        hashed(key).alias("_hash"))
-    count = docs.count()
-    ranges = max(1, ceil(count / len(tree.shards) / rows_per_range))
-    rows = rows.withColumn("_range", F.floor(F.col("_hash") / F.lit(float(16 ** HEX_DIGITS)) * ranges).cast("int"))
-    sizes = rows.groupBy("shard", "_range").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("shard", "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("shard", "_range").orderBy("_hash", id_column, "size", "text_crc32")
-    numbered = rows.withColumn("_place", F.row_number().over(inside))
-    return numbered.join(starts, ["shard", "_range"]).select(
-        F.col(id_column), "size", "text_crc32", "law", "shard",
-        (F.col("_start") + F.col("_place") - 1).cast("bigint").alias("slot"), "grown_shard")
+        hashed(key).alias("_hash"), F.monotonically_increasing_id().alias("_row")), "sharded")
+    numbered = place_in_group(rows, ["shard"], ["_hash", id_column, "size", "text_crc32", "_row"], "slot")
+    return numbered.select(id_column, "size", "text_crc32", "law", "shard", F.col("slot").cast("bigint").alias("slot"), "grown_shard")

@@ -78,10 +78,27 @@ def test_lengths_apart_and_rows_that_share_an_id(spark):
 
 # --- hash tree
 
+def test_an_id_with_a_third_of_the_rows_is_cut(spark):
+    from dropweave.operators import ordering
+    rows = [(7 if i % 3 else i, f"text {i % 5}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = hash_tree.shard(df, Tree.regular(2, 1, 2))
+        staged = ordering._sorted_slots(df.withColumn("shard", F.lit(1)).withColumn("_row", F.monotonically_increasing_id()), ["shard", "doc_id", "_row"])
+        assert staged.groupBy(F.shiftright("_slot", 33)).count().agg(F.max("count")).first()[0] < 2000  # the id has 4,000 rows
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per_shard = {}
+    for r in got.collect():
+        per_shard.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(slots) == list(range(len(slots))) for slots in per_shard.values()) and sum(map(len, per_shard.values())) == 6000
+
+
 def test_growth_moves_rows_only_into_the_new_shard(spark):
     rows = [(i if i % 97 else None, None if i % 31 == 0 else f"text {i % 7}" * (i % 5)) for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("clash"))
-    got = hash_tree.shard(df, Tree.regular(5, 2, 4), rows_per_range=20).collect()
+    got = hash_tree.shard(df, Tree.regular(5, 2, 4)).collect()
     assert len(got) == 4000
     assert all(r.grown_shard in (r.shard, 40) for r in got)
     assert 40 < sum(r.grown_shard == 40 for r in got) < 200
@@ -101,7 +118,14 @@ def test_growth_moves_rows_only_into_the_new_shard(spark):
 
 def test_slots_do_not_depend_on_ranges(spark):
     df = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
-    a, b = ({(r.doc_id, r.slot) for r in hash_tree.shard(df, Tree.regular(2, 2, 2), rows_per_range=n).collect()} for n in (3, 10_000))
+    def slots(parts):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        return {(r.doc_id, r.slot) for r in hash_tree.shard(df.repartition(parts), Tree.regular(2, 2, 2)).collect()}
+
+    try:
+        a, b = slots(3), slots(8)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b
     assert hash_tree.shard(df.limit(0), Tree.regular(2, 2, 2)).count() == 0
 
@@ -201,6 +225,12 @@ def test_round_trip_and_revisits(spark, tmp_path):
             else:
                 assert (r.record_type, r.refers_to, bytes(r.payload)) == ("response", None, (html or "").encode())
     assert warc.archive(spark, df.limit(0), str(tmp_path / "none")).count() == 0
+    path = next((tmp_path / "w").rglob("*.warc.gz"))
+    data = bytearray(path.read_bytes())
+    data[len(data) // 2] ^= 255
+    path.write_bytes(bytes(data))
+    with pytest.raises(ValueError, match="can be read"):
+        warc.complete(files, warc.read(spark, files))
 
 
 def test_any_split_owns_each_record_once_despite_false_magic():

@@ -183,6 +183,18 @@ SELECT name AS merged_file, CAST(0 AS BIGINT) AS line_no, CAST(NULL AS BIGINT) A
 FROM names WHERE t IN (SELECT record_type FROM lines)
 UNION ALL SELECT name, row_number() OVER (PARTITION BY name ORDER BY source_file, line_no), k, s, NULL
 FROM lines JOIN names ON t = record_type"""),
+    "q_rejects_odd": """
+WITH o AS (SELECT o_orderstatus AS s, o_orderpriority AS p, o_custkey AS k FROM orders)
+SELECT reason, record_type, count(*) AS n FROM (
+  SELECT 'bad_key' AS reason, '24' AS record_type FROM o WHERE s = 'F'
+  UNION ALL SELECT 'unknown_type', '77' FROM o WHERE s = 'P'
+  UNION ALL SELECT 'corrupt', '24' FROM o WHERE s NOT IN ('F', 'P') AND p = '1-URGENT'
+  UNION ALL SELECT 'orphan', '24' FROM o WHERE s NOT IN ('F', 'P') AND k NOT IN (SELECT c_custkey FROM customer))
+GROUP BY ALL""",
+    "q_file_names": """
+SELECT DISTINCT c_custkey % 25 || CASE WHEN c_custkey % 3 = 0 THEN '/x.zip!x.csv' ELSE '/x.csv' END AS source_file,
+       'x.csv' AS base, 'x' AS stem
+FROM customer""",
     "q_lookup_batch": """
 SELECT o_custkey AS key, o_orderkey AS serial FROM orders
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",

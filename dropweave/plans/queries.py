@@ -400,6 +400,20 @@ def rejects(spark, sf_dir):
     return rejected.groupBy("reason", "record_type").agg(F.count("*").alias("n"))
 
 
+def rejects_odd(spark, sf_dir):
+    """Reasons of lines with bad keys, undeclared types and fields that do not fit."""
+    lines = jobs.prepare(spark, sample.odd_dir(spark, sf_dir), SAMPLE, source="source_file", glob=PART_FILES)
+    rejected = grouping.rejects(lines, SAMPLE, "21", ("24",))
+    return rejected.groupBy("reason", "record_type").agg(F.count("*").alias("n"))
+
+
+def file_names(spark, sf_dir):
+    """The drops of a folder tree with their bare names, with and without suffix."""
+    bare = csvtext.base_name(F.col("source_file"))
+    return jobs.list_drop(spark, sample.same_names_dir(spark, sf_dir)).select(
+        "source_file", bare.alias("base"), csvtext.drop_suffix(bare, ".csv").alias("stem"))
+
+
 def accounted(spark, sf_dir):
     """Every line of the drop: in a group, or left out for one reason."""
     lines = sample_lines(spark, sf_dir)
@@ -425,5 +439,5 @@ ALL: dict[str, Query] = {
         group_uprn, group_usrn, group_usrn_first, group_gapped, group_uprn_chunks, group_usrn_chunks, part_names,
         group_uprn_nested, lookup_key, lookup_colocated, lookup_batch, orphans, rejects,
         open_quotes, same_names, accounted, group_uprn_segments,
-        lookup_stored, zones, land_by_manifest, split_lines, merged_lines)
+        lookup_stored, zones, land_by_manifest, split_lines, merged_lines, rejects_odd, file_names)
 }

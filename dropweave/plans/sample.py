@@ -187,6 +187,21 @@ def same_names_dir(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, "same-names", sf_dir, make)
 
 
+def odd_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Customers, and orders some of which have a key that is no number, a type nobody declared, or a serial that does not fit."""
+    def make():
+        path = staging_path(spark, "odd")
+        key, serial = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
+        line = format_line(
+            F.when(F.col("o_orderstatus") == "P", 77).otherwise(24), F.lit("I"), F.when(F.col("o_orderpriority") == "1-URGENT", "x").otherwise(serial),
+            F.when(F.col("o_orderstatus") == "F", "bad").otherwise(key), "o_orderstatus", "o_orderpriority", "o_totalprice", F.col("o_orderdate").cast("date"))
+        orders = table(spark, sf_dir, "orders").select(_source_file(F.col("o_custkey").cast("bigint")).alias("source_file"), line.alias("value"))
+        customers = _data(table(spark, sf_dir, "customer"), "21", "c_custkey", "c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+        orders.union(customers.select("source_file", "value")).write.partitionBy("source_file").text(path)
+        return path
+    return once(spark, "odd", sf_dir, make)
+
+
 def open_quote_dir(spark: SparkSession, sf_dir: str) -> str:
     """Documents as in ``document_dir``, each file ended by a quote nobody closes and a line per event below it."""
     def make():

@@ -60,12 +60,3 @@ def words(texts: list[bytes], member: np.ndarray) -> Words:
     value = (data[inside[:len(data)]].astype(np.uint64) + np.uint64(1)) * power[within]
     hashes = mixed(np.add.reduceat(value, begin))
     return Words(data, starts, ends, text, np.bincount(text, minlength=len(texts)), hashes)
-
-
-def sums(values: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums over consecutive runs of rows, zero for an empty run."""
-    out = np.zeros((len(sizes), *values.shape[1:]), np.result_type(values.dtype, np.float32))
-    full = np.flatnonzero(sizes > 0)
-    if len(full):
-        out[full] = np.add.reduceat(values, begin[full], axis=0)
-    return out

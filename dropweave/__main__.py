@@ -6,7 +6,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from dropweave.functions.registry import LOCATION_IDS, UPRN_CHUNK, USRN_CHUNK, Registry
+from dropweave.functions.registry import (
+    LOCATION_IDS, UPRN_CHILDREN, UPRN_CHUNK, UPRN_PARENT, USRN_CHILDREN, USRN_CHUNK, USRN_PARENT, Registry)
 from dropweave.plans import jobs
 from dropweave.session import build_session, clear_staging
 from dropweave.sources.lines import TEXT_FILES
@@ -30,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--landed", help="landed table: written when --input is given, else read")
             p.add_argument("--schema", help="YAML file of record types; the standard ones if left out")
             p.add_argument("--no-compact", dest="compact", action="store_false", help="land one file per split and type, without the shuffle that evens them out")
+            p.add_argument("--manifest", help="what count has written: only files that hold a line of the step's types are read")
             p.add_argument("--scan-mode", choices=("line", "record"), default="line")
             p.add_argument("--mode", choices=("errorifexists", "overwrite", "ignore"), default="errorifexists")
         return p
@@ -76,8 +78,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         return
     registry = Registry.from_yaml(args.schema) if args.schema else Registry.standard()
     if args.input:
+        groups = {"group-uprn": (UPRN_PARENT, *UPRN_CHILDREN), "group-usrn": (USRN_PARENT, *USRN_CHILDREN)}
+        types = (groups.get(args.step) or args.types) if args.manifest else None
         lines = jobs.prepare(spark, args.input, registry, args.landed, args.scan_mode, args.source, args.glob,
-                             args.compact)
+                             args.compact, args.manifest, types)
     elif args.landed:
         lines = jobs.reopen(spark, args.landed, args.scan_mode)
     else:

@@ -87,10 +87,12 @@ def write_sorted(rows: DataFrame, out: str, names: dict[str, str], rejects: str
     wanted = {f"good-{name}": f"{out}/{name}" for name in names.values()}
     if rejects:
         wanted |= {f"bad-{name}": f"{rejects}/{name}" for name in names.values()}
-    for target in wanted.values():
+    for name, target in list(wanted.items()):
         store, place = _hadoop_path(spark, target)
         if mode != "overwrite" and store.exists(place):
-            raise FileExistsError(target)
+            if mode != "ignore":
+                raise FileExistsError(target)
+            del wanted[name]
     kind = F.when(F.col("corrupt") & F.lit(bool(rejects)), F.lit("bad-")).otherwise(F.lit("good-"))
     of_type = F.create_map(*chain.from_iterable((F.lit(i), F.lit(n)) for i, n in names.items()))[F.col("record_type")]
     text = F.when(kind == "bad-", F.col("value")).otherwise(F.col("text"))

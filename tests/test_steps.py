@@ -155,6 +155,11 @@ def test_command_line_with_the_standard_types(spark, tmp_path):
     main(["group-usrn", "--input", str(folder), "--scan-mode", "record", "--output", base + "/usrn", "--limit-per-key", "1"])
     main(["count", "--input", str(folder), "--output", base + "/manifest"])
     assert jobs.read_manifest(spark, base + "/manifest").count() == 5
+    (folder / "b.csv").write_text(line("21", 9, widths["21"]) + "\n")
+    main(["count", "--input", str(folder), "--output", base + "/manifest"])
+    main(["merge", "--input", str(folder), "--output", base + "/some", "--manifest", base + "/manifest", "--types", "24"])
+    main(["group-usrn", "--input", str(folder), "--output", base + "/streets", "--manifest", base + "/manifest"])
+    assert len(text(spark, base + "/some")) == 2 and len(text(spark, base + "/streets")) == 4
     assert [v[:2] for v in text(spark, base + "/uprn/part_file=part-0001.csv")] == ["21", "24", "31"]
     assert len(text(spark, base + "/usrn")) == 4
     assert text(spark, base + "/bad/Records_LPI") == []

@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -14,6 +15,7 @@ from dropweave.llm import jaccard_join, line_edit_join, sentencepiece_codec
 from dropweave.llm._components import components
 from dropweave.llm.catalogue import queries
 from dropweave.llm.queries import vocabulary
+from dropweave.session import staging_root
 
 SF_DIR = "/root/testdata/sf0.001"
 draw = random.Random(12)
@@ -417,3 +419,32 @@ def test_pipeline_stages(spark):
 def test_every_operator_has_a_query():
     names = list(queries())
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+
+
+# --- line dedup: what its join moves
+
+def test_line_dedup_leaves_nothing_of_its_join(spark):
+    own = random.Random(3)
+    base = ["".join(own.choice("abcdefgh ") for _ in range(120)) for _ in range(20)]
+    rows = [(d, base[d % 20][:50] + str(d // 20) + base[d % 20][50:]) for d in range(60)] + [(60, "x" + "-" * 900 + "0"), (61, "x" + "-" * 900 + "1")]
+    before = {p.name for p in Path(staging_root(spark)).glob("*")}
+    got = {r.doc_id for r in line_edit_join.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_dropped}
+    assert got == {*range(20, 60), 61}
+    left = {p.name.rpartition("-")[0] for p in Path(staging_root(spark)).glob("*") if p.name not in before}
+    assert "marked-firsts" in left and not left & {"probes", "index-entries", "first-lines", "paired-lines", "paired-texts"}
+
+
+@pytest.mark.parametrize("edits", [None, 3])
+def test_a_near_line_finds_a_piece(edits):
+    """Also across the borders of bands and zones, from both a shorter and an equally long line."""
+    everything, own = line_edit_join.Filter(None), random.Random(4)
+    for _ in range(400):
+        a = "".join(own.choice("abcdefghijklmnop ") for _ in range(own.choice([40, 55, 56, 71, 88, 124, 176, 250, 296, 420, 1000])))
+        b = edited(a, line_edit_join.budget(len(a), edits))
+        a, b = (a, b) if len(a) <= len(b) else (b, a)
+        if line_edit_join.bounded_distance(a, b, line_edit_join.budget(len(a), edits)) > line_edit_join.budget(len(a), edits):
+            continue
+        bands = line_edit_join.bands_of(30, len(b), edits)
+        held = {int(k): int(p) for _, p, k in zip(*line_edit_join.pieces(line_edit_join.Hashes([a]), bands, edits))}
+        _, place, key = line_edit_join.substrings([b], bands, edits, everything)
+        assert any(abs(held.get(int(k), 10**6) - p) <= line_edit_join.budget(len(a), edits) for p, k in zip(place.tolist(), key.tolist()))

@@ -448,3 +448,69 @@ def test_a_near_line_finds_a_piece(edits):
         held = {int(k): int(p) for _, p, k in zip(*line_edit_join.pieces(line_edit_join.Hashes([a]), bands, edits))}
         _, place, key = line_edit_join.substrings([b], bands, edits, everything)
         assert any(abs(held.get(int(k), 10**6) - p) <= line_edit_join.budget(len(a), edits) for p, k in zip(place.tolist(), key.tolist()))
+
+
+def staged_by(module, monkeypatch):
+    """Names and rows of the tables that a module stages."""
+    seen, write = [], module.stage
+
+    def counted(df, name="stage", *args):
+        out = write(df, name, *args)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(module, "stage", counted)
+    return seen
+
+
+def near_copies(own):
+    base = ["".join(own.choice("abcdefgh ") for _ in range(own.choice([45, 90, 150, 160, 300]))) for _ in range(12)]
+    texts = [edited(base[d % 12], own.randrange(8)) for d in range(90)]
+    return [(d, t, any(distance(t, b) <= max(2, min(len(t), len(b)) // 20) for b in texts[:d])) for d, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("keys", [200, 30])
+def test_more_pieces_than_a_filter_holds_go_in_cuts(spark, monkeypatch, keys):
+    """The filter stays in use: probes are few, where all substrings were probes before.  30 keys also cut bands by remainders."""
+    monkeypatch.setattr(line_edit_join, "FILTER_BYTES", keys * line_edit_join.FILTER_BITS // 8)
+    seen, rows = staged_by(line_edit_join, monkeypatch), near_copies(random.Random(5))
+    if keys == 30:
+        rows = [r for r in rows if r[0] % 12 in (0, 1)]
+        rows = [(d, t, any(distance(t, b) <= max(2, min(len(t), len(b)) // 20) for _, b, _ in rows[:i])) for i, (d, t, _) in enumerate(rows)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert {r.doc_id for r in line_edit_join.dedup(df).collect() if r.n_dropped} == {d for d, _, near in rows if near}
+    probed = [n for name, n in seen if name == "probes"]
+    assert len(probed) > 2 and sum(probed) < sum(len(t) for _, t, _ in rows) / 3
+
+
+def test_cuts_cover_every_piece_once():
+    own = random.Random(6)
+    lines_ = ["".join(own.choice("abcd ") for _ in range(own.randrange(40, 400))) for _ in range(200)]
+    hashes, bands = line_edit_join.Hashes(lines_), line_edit_join.bands_of(40, 400, None)
+    every = line_edit_join.Filter(None)
+    some = [line_edit_join.Cut(0, 2, 1), line_edit_join.Cut(3, 3, 1, 0, 2), line_edit_join.Cut(3, 3, 1, 1, 2), line_edit_join.Cut(4, len(bands.first) - 2, 1)]
+    for whole, cut in ((line_edit_join.pieces(hashes, bands, None), [line_edit_join.pieces(hashes, bands, None, c) for c in some]),
+                       (line_edit_join.substrings(lines_, bands, None, every), [line_edit_join.substrings(lines_, bands, None, every, c) for c in some])):
+        assert sorted(zip(*(x.tolist() for x in whole))) == sorted(row for c in cut for row in zip(*(x.tolist() for x in c)))
+        assert all(len(c[0]) for c in cut)
+
+
+def test_few_texts_are_moved_at_a_time(spark, monkeypatch):
+    """Pairs are verified in parts of so many characters, members of frequent keys in parts of so many rows, and short rounds end the same."""
+    for name, value in {"VERIFIED_CHARS": 20_000, "GROUP": 4, "MEMBERS_AT_ONCE": 0, "ROUND_PAIRS": 0}.items():
+        monkeypatch.setattr(line_edit_join, name, value)
+    seen, rows = staged_by(line_edit_join, monkeypatch), near_copies(random.Random(7))
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert {r.doc_id for r in line_edit_join.dedup(df).collect() if r.n_dropped} == {d for d, _, near in rows if near}
+    assert max(n for name, n in seen if name == "verified-pairs") < max(len(rows), 3 * 20_000 / 90)
+    assert sum(n for name, n in seen if name == "verified-pairs") <= sum(n for name, n in seen if name == "candidates")
+
+
+def test_bags_are_a_lower_bound():
+    own = random.Random(8)
+    one = ["".join(own.choice("abcdefgh é") for _ in range(own.choice([1, 40, 300, 2000]))) for _ in range(200)]
+    two = [edited(a, own.randrange(30)) for a in one]
+    least = line_edit_join.bag_distances(line_edit_join.bags(one), line_edit_join.bags(two), np.array([len(a) - len(b) for a, b in zip(one, two)]))
+    assert all(n <= line_edit_join.bounded_distance(a, b, 60) for n, a, b in zip(least.tolist(), one, two))
+    far = line_edit_join.bag_distances(line_edit_join.bags(["a" * 300]), line_edit_join.bags(["b" * 300]), np.array([0]))
+    assert far[0] > 40
